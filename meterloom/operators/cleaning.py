@@ -20,7 +20,11 @@ RUN_ID = "_pipeline_run_id"
 
 
 def normalise(df: DataFrame, dataset: Dataset) -> DataFrame:
-    """Cast, fill and format every contract column in one projection."""
+    """Cast, fill and format every contract column; no shuffle.
+
+    Title case looks at its input several times, so it comes after the rest, in a
+    projection of its own.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     present = [name for name in dataset.columns if name in kinds]
     parsed: dict[str, Column] = {}
@@ -33,11 +37,11 @@ def normalise(df: DataFrame, dataset: Dataset) -> DataFrame:
             value = F.col(name).cast("string")
             if name in dataset.null_fill:
                 value = F.coalesce(value, F.lit(dataset.null_fill[name]))
-            value = strip(value)
-            parsed[name] = title_case(value) if name in dataset.titled else value
+            parsed[name] = strip(value)
     if "dt" in kinds:
         parsed["dt"] = F.col("dt").cast("string")
-    return df.withColumns(parsed)
+    titled = {name: title_case(F.col(name)) for name in dataset.titled if name in present}
+    return df.withColumns(parsed).withColumns(titled)
 
 
 def survivor_order(df: DataFrame, keys: Sequence[str]) -> list[str]:

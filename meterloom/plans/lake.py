@@ -262,6 +262,7 @@ class Report:
     build: Callable[[DataFrame], DataFrame]
 
 
+REPORT_PARTITIONS = ("dt",)
 REPORTS = (
     Report("hvac_daily_summary", "silver", P.HVAC, rollups.hvac_daily_summary),
     Report("alarm_log", "silver", P.HVAC, rollups.alarm_log),
@@ -271,13 +272,17 @@ REPORTS = (
 
 
 def build_gold(lake: Lake) -> list[str]:
-    """Write every report whose upstream exists anew; returns their names."""
+    """Write every report whose upstream exists anew; returns their names.
+
+    Reports are laid out by day: a building's day is one row of a summary, far
+    too little for a folder of its own.
+    """
     built = []
     for report in REPORTS:
         rows = lake.table(report.layer, report.dataset)
         if rows is not None:
             target = lake.path("gold", report.name)
-            tables.overwrite(report.build(rows), target, rollups.BUILDING_DAY)
+            tables.overwrite(report.build(rows), target, REPORT_PARTITIONS)
             done = Ledger(lake.spark, f"{lake.root}/_ledgers/gold/{report.name}", RUN_ID)
             done.replace(lake.runs(report.layer, report.dataset).ids())
             built.append(report.name)
@@ -285,13 +290,13 @@ def build_gold(lake: Lake) -> list[str]:
 
 
 def refresh_gold(lake: Lake) -> list[str]:
-    """Recompute only the building/days that runs not reported yet have touched.
+    """Recompute only the days that runs not reported yet have touched.
 
     Those days are read whole, from all runs, and replace their partitions, so
     the tables equal a full build and a replay changes nothing.
     """
     refreshed = []
-    by_day = list(rollups.BUILDING_DAY)
+    by_day = list(REPORT_PARTITIONS)
     for report in REPORTS:
         done = Ledger(lake.spark, f"{lake.root}/_ledgers/gold/{report.name}", RUN_ID)
         upstream = lake.runs(report.layer, report.dataset).ids()

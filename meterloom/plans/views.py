@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterloom.session import spread
+
 HVAC_RAW = """
 SELECT
   CASE WHEN event_id % 97 = 0 THEN 'not a time'
@@ -93,7 +95,7 @@ def for_duckdb(view: str) -> str:
 
 def derive(spark: SparkSession, sf_dir: str, view: str, table: str) -> DataFrame:
     """The view over one Parquet table, as a DataFrame."""
-    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    source = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     text = view.format(text="STRING").replace(f"FROM {table}", f"FROM {{{table}}}")
     return spark.sql(text, **{table: source})
 

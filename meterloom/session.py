@@ -6,7 +6,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -46,6 +46,16 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return waves * cores
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer pieces than there are cores.
+
+    A Parquet file of one row group cannot be split, so one task would read and
+    transform it alone. Inputs of many files are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextlib.contextmanager
 def text_partition_values(spark: SparkSession):
     """Resolve a read with partition values kept as text, whatever the session says."""

@@ -61,45 +61,43 @@ def split_by_path(files: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Dat
     return files.where(named), files.where(~named)
 
 
-def _open_uri(path: str):
-    from pyarrow import fs
-
-    for scheme in ("s3a:", "s3n:"):
-        if path.startswith(scheme):
-            path = "s3:" + path[len(scheme):]
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        path = "file://" + path[len("file:"):]
-    if "://" not in path:
-        return fs.LocalFileSystem(), path
-    if path.startswith("file://"):
-        return fs.LocalFileSystem(), path[len("file://"):]
-    return fs.FileSystem.from_uri(path)
-
-
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            try:
-                filesystem, inner = _open_uri(path)
-                with filesystem.open_input_file(inner) as handle:
-                    schema = pq.ParquetFile(handle).schema
-                fields = sorted(
-                    (c.path, c.physical_type, str(c.logical_type))
-                    for c in (schema.column(n) for n in range(len(schema)))
-                )
-                columns = sorted({path_.split(".")[0] for path_, _, _ in fields})
-                rows.append((path, json.dumps(fields), columns, None))
-            except Exception as error:  # noqa: BLE001 - every bad file is reported
-                rows.append((path, None, None, f"{type(error).__name__}: {error}"))
-        yield pd.DataFrame(rows, columns=["path", "signature", "columns", "error"])
+def footers(files: DataFrame) -> DataFrame:
+    """Per file: its schema signature and column names, or why it is unreadable.
 
+    The function sent to the tasks holds all it needs, so executors do not have
+    to have this package installed.
+    """
 
-def footers(files: DataFrame) -> DataFrame:
-    """Per file: its schema signature and column names, or why it is unreadable."""
-    return files.select("path").mapInPandas(_footers, FOOTERS)
+    def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def locate(path):
+            for scheme in ("s3a:", "s3n:"):
+                if path.startswith(scheme):
+                    path = "s3:" + path[len(scheme):]
+            if path.startswith("file:"):
+                return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+            if "://" not in path:
+                return fs.LocalFileSystem(), path
+            return fs.FileSystem.from_uri(path)
+
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    filesystem, inner = locate(path)
+                    with filesystem.open_input_file(inner) as handle:
+                        schema = pq.ParquetFile(handle).schema
+                    columns = [schema.column(n) for n in range(len(schema))]
+                    fields = sorted((c.path, c.physical_type, str(c.logical_type)) for c in columns)
+                    names = sorted({name.split(".")[0] for name, _, _ in fields})
+                    rows.append((path, json.dumps(fields), names, None))
+                except Exception as error:  # noqa: BLE001 - every bad file is reported
+                    rows.append((path, None, None, f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(rows, columns=["path", "signature", "columns", "error"])
+
+    return files.select("path").mapInPandas(read_footers, FOOTERS)
 
 
 def drift_report(footer_rows: DataFrame, expected: Sequence[str]) -> DataFrame:
