@@ -36,6 +36,6 @@ def title_case(value: Column) -> Column:
     plain words, the usual case, need neither.
     """
     word = F.concat(F.upper(F.substring(value, 1, 1)), F.lower(F.substring(value, 2, 1 << 30)))
-    marked = F.regexp_replace(value, r"([^\p{L}\s])(?=\p{L})", "$1\u0001 ")
+    marked = F.regexp_replace(value, r"([^\p{L} ])(?=\p{L})", "$1\u0001 ")
     phrase = F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
     return F.when(value.rlike("^[A-Za-z]*$"), word).otherwise(phrase)

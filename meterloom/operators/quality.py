@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,58 +16,66 @@ SEVERITIES = ("critical", "warning")
 
 @dataclass(frozen=True)
 class Rule:
-    """A named test. ``fails`` builds the condition under which a row fails;
-    ``on_null`` says whether an unknown outcome counts as failing."""
+    """A named test, as plain data: ``fails`` is the SQL condition under which a
+    row fails; ``on_null`` says whether an unknown outcome counts as failing."""
 
     name: str
     severity: str
-    fails: Callable[[], Column]
+    fails: str
     on_null: bool = False
 
     def __post_init__(self):
         if self.severity not in SEVERITIES:
             raise ValueError(f"unknown severity {self.severity!r}")
+        if not self.name.replace("_", "").isalnum():
+            raise ValueError(f"rule name {self.name!r} is not made of letters, digits and _")
 
-    def mask(self) -> Column:
-        return F.coalesce(self.fails(), F.lit(self.on_null))
+    @property
+    def mask(self) -> str:
+        """The condition, never null."""
+        return f"coalesce({self.fails}, {str(self.on_null).lower()})"
 
 
 def required(name: str, severity: str, *columns: str) -> Rule:
     """Fails when any of the columns is missing."""
-    return Rule(name, severity, lambda: _any([F.col(c).isNull() for c in columns]))
+    return Rule(name, severity, " OR ".join(f"`{column}` IS NULL" for column in columns))
 
 
 def outside(name: str, severity: str, column: str, low: float, high: float) -> Rule:
     """Fails outside the inclusive range; a missing value is outside."""
-    return Rule(name, severity, lambda: ~F.col(column).between(low, high), on_null=True)
+    test = f"`{column}` NOT BETWEEN {_number(low)} AND {_number(high)}"
+    return Rule(name, severity, test, on_null=True)
 
 
 def below(name: str, severity: str, column: str, limit: float) -> Rule:
-    return Rule(name, severity, lambda: F.col(column) < limit)
+    return Rule(name, severity, f"`{column}` < {_number(limit)}")
 
 
 def at_most(name: str, severity: str, column: str, limit: float) -> Rule:
-    return Rule(name, severity, lambda: F.col(column) <= limit)
+    return Rule(name, severity, f"`{column}` <= {_number(limit)}")
 
 
 def exceeds(name: str, severity: str, column: str, other: str) -> Rule:
     """Fails when one column is greater than another."""
-    return Rule(name, severity, lambda: F.col(column) > F.col(other))
+    return Rule(name, severity, f"`{column}` > `{other}`")
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(Column.__or__, conditions, F.lit(False))
+def _number(value: float) -> str:
+    return f"{float(value)!r}D"
 
 
 def grade(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the worst severity and the names of all failed rules, in rule order."""
-    failed = [(rule, rule.mask()) for rule in rules]
-    flag = F.lit("clean")
-    for severity in reversed(SEVERITIES):
-        hit = [mask for rule, mask in failed if rule.severity == severity]
-        flag = F.when(_any(hit), severity).otherwise(flag)
-    names = [F.when(mask, F.lit(rule.name)) for rule, mask in failed]
-    return df.withColumns({FLAG: flag, ISSUES: F.concat_ws(";", *names)})
+    worst = [
+        f"WHEN {' OR '.join(rule.mask for rule in tests)} THEN '{severity}'"
+        for severity in SEVERITIES
+        if (tests := [rule for rule in rules if rule.severity == severity])
+    ]
+    flag = f"CASE {' '.join(worst)} ELSE 'clean' END" if worst else "'clean'"
+    names = [f"CASE WHEN {rule.mask} THEN '{rule.name}' END" for rule in rules]
+    return df.withColumns(
+        {FLAG: F.expr(flag), ISSUES: F.expr(f"concat_ws({', '.join([repr(';'), *names])})")}
+    )
 
 
 def quarantined(graded: DataFrame) -> DataFrame:

@@ -274,16 +274,13 @@ def _lake(spark: SparkSession, d: str) -> Lake:
     """Write the raw HVAC feed as landing files of drifting schemas; ingest them."""
     root = scratch_folder(spark, "lake")
     raw = views.hvac_raw(spark, d).drop("_source_file", "_ingested_at")
-    empty = F.lit(None).cast("int")
-    drifted = {
-        "run-1": raw,
-        "run-2": raw.withColumn("firmware", F.lit(7)),
-        "run-3": raw.drop("outdoor_air_temp"),
-        "run-4": raw.withColumn("fault_code", empty),
-    }
-    for run, rows in drifted.items():
-        batch = rows.where(F.col(RUN_ID) == run).drop(RUN_ID)
-        writer = batch.hint("rebalance", "building_id", "dt").write.mode("append")
+    early = F.col(RUN_ID) <= "run-2"
+    drifted = (
+        raw.where(early).withColumn("firmware", F.lit(7)),
+        raw.where(~early).drop("outdoor_air_temp").withColumn("fault_code", F.lit(None).cast("int")),
+    )
+    for rows in drifted:
+        writer = rows.drop(RUN_ID).hint("rebalance", "building_id", "dt").write.mode("append")
         writer.partitionBy("building_id", "dt").parquet(f"{root}/landing")
     lake = Lake(spark, root)
     ingest(lake, f"{root}/landing", P.HVAC)

@@ -451,8 +451,8 @@ ORACLES: dict[str, str] = {
     "lake_hvac_bronze": sql(
         """SELECT building_id, dt, count(*) AS readings, count(outdoor_air_temp) AS outdoor_readings,
         count(fault_code) AS fault_codes, count(DISTINCT equipment_id) AS raw_units
-        FROM (SELECT * REPLACE (CASE WHEN _pipeline_run_id = 'run-3' THEN NULL
-          ELSE outdoor_air_temp END AS outdoor_air_temp, CASE WHEN _pipeline_run_id = 'run-4'
+        FROM (SELECT * REPLACE (CASE WHEN _pipeline_run_id > 'run-2' THEN NULL
+          ELSE outdoor_air_temp END AS outdoor_air_temp, CASE WHEN _pipeline_run_id > 'run-2'
           THEN NULL ELSE fault_code END AS fault_code) FROM hvac_raw)
         GROUP BY building_id, dt"""
     ),

@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Recording the call site of every Column doubles the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Listing many landing folders is itself a Spark job beyond this many paths.
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
 }
