@@ -116,7 +116,7 @@ def ingest(
     rounds = -(-total // max_files)
     fixed = scratch_folder(spark, "listing") + "/files"
     numbered = files.withColumn("round", F.pmod(F.xxhash64("path"), F.lit(rounds)))
-    numbered.write.partitionBy("round").parquet(fixed)
+    numbered.repartition("round").write.partitionBy("round").parquet(fixed)
     listing = spark.read.schema("path string, round int").parquet(fixed)
     run_ids = []
     for number in range(rounds):

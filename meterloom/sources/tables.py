@@ -14,6 +14,7 @@ from meterloom.operators.cleaning import RUN_ID
 from meterloom.session import text_partition_values
 
 PARTITIONS = (RUN_ID, "building_id", "dt")
+MAX_RECORDS_PER_FILE = 5_000_000
 MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
@@ -70,7 +71,7 @@ def append_runs(
     path: str,
     partition_by: Sequence[str] = PARTITIONS,
     rebalance: bool = False,
-    max_records_per_file: int = 0,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
 ) -> None:
     """Add runs to a table. Each run has folders of its own, and writing it again
     replaces them: a run that died after its data was written can be replayed."""
@@ -85,7 +86,7 @@ def overwrite(
     path: str,
     partition_by: Sequence[str] = (),
     rebalance: bool = True,
-    max_records_per_file: int = 0,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
     touched_only: bool = False,
 ) -> None:
     """Replace a table, or with ``touched_only`` just the partitions in ``df``.
@@ -105,7 +106,7 @@ def compact(
     path: str,
     target: str,
     partition_by: Sequence[str] = ("building_id", "dt"),
-    max_records_per_file: int = 5_000_000,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
 ) -> None:
     """Rewrite a table of many small files into few larger ones at a new path.
 

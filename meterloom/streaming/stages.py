@@ -35,10 +35,14 @@ def with_event_time(df: DataFrame, delay: str) -> DataFrame:
 
 
 def deduplicated(df: DataFrame, dataset: Dataset, delay: str) -> DataFrame:
-    """First arrival per key within the watermark; state is one key per reading."""
-    rows = with_event_time(cleaning.normalise(df, dataset), delay)
-    return rows.dropDuplicatesWithinWatermark(list(dataset.dedup_keys))
+    """First arrival per key within the watermark; state is one key per reading.
 
+    A reading without a readable time is outside every watermark and passes.
+    """
+    rows = cleaning.normalise(df, dataset)
+    timed = with_event_time(rows.where(F.col("timestamp").isNotNull()), delay)
+    first = timed.dropDuplicatesWithinWatermark(list(dataset.dedup_keys)).drop(EVENT_TIME)
+    return first.unionByName(rows.where(F.col("timestamp").isNull()))
 
 
 def hvac_daily_summary(enriched: DataFrame, delay: str) -> DataFrame:
