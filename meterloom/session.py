@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -49,13 +50,18 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that comes in fewer pieces than there are cores.
+    """Use all cores on a file read that comes in fewer pieces than there are cores.
 
     A Parquet file of one row group cannot be split, so one task would read and
-    transform it alone. Inputs of many files are left as they are: no shuffle.
+    transform it alone. Rows are dealt out by their position in the file: even,
+    the same on a retry, and without the sort a plain ``repartition`` needs for
+    that. Inputs of many files are left as they are: no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    placed = df.select("*", F.col("_metadata.row_index").alias("_position"))
+    return placed.repartition(cores, "_position").drop("_position")
 
 
 @contextlib.contextmanager
