@@ -72,7 +72,8 @@ def utility_dedup_counts(spark: SparkSession, d: str) -> DataFrame:
 @query
 def hvac_new_rows(spark: SparkSession, d: str) -> DataFrame:
     """Table-wide deduplication: clean rows whose key the first run did not bring."""
-    known = hvac_normalised(spark, d).where(F.col(RUN_ID) == "run-1")
+    first_run = hvac_normalised(spark, d).where(F.col(RUN_ID) == "run-1")
+    known = first_run.select(*P.HVAC.dedup_keys).distinct()
     return cleaning.clean(views.hvac_raw(spark, d), P.HVAC, known=known)
 
 
@@ -327,12 +328,16 @@ def stage_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --- streaming --------------------------------------------------------------------
-def _stream(spark: SparkSession, d: str) -> DataFrame:
-    """The raw HVAC feed as a stream over the events file."""
-    kind = spark.read.parquet(f"{d}/events.parquet").schema
-    reader = spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet")
-    text = views.HVAC_RAW.format(text="STRING").replace("FROM events", "FROM {events}")
-    return spark.sql(text, events=reader.parquet(d))
+def _stream(spark: SparkSession, d: str, view: str, table: str) -> DataFrame:
+    """A raw feed as a stream over its table's file."""
+    kind = spark.read.parquet(f"{d}/{table}.parquet").schema
+    reader = spark.readStream.schema(kind).option("pathGlobFilter", f"{table}.parquet")
+    text = view.format(text="STRING").replace(f"FROM {table}", f"FROM {{{table}}}")
+    return spark.sql(text, **{table: reader.parquet(d)})
+
+
+def _hvac_stream(spark: SparkSession, d: str) -> DataFrame:
+    return _stream(spark, d, views.HVAC_RAW, "events")
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
@@ -345,13 +350,13 @@ def _run(stream: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_hvac_daily_summary(spark: SparkSession, d: str) -> DataFrame:
-    enriched = stages.graded(_stream(spark, d), P.HVAC)
+    enriched = stages.graded(_hvac_stream(spark, d), P.HVAC)
     return _run(stages.hvac_daily_summary(enriched, DELAY), "stream-daily")
 
 
 @query
 def stream_hvac_graded(spark: SparkSession, d: str) -> DataFrame:
-    rows = _run(stages.graded(_stream(spark, d), P.HVAC), "stream-graded")
+    rows = _run(stages.graded(_hvac_stream(spark, d), P.HVAC), "stream-graded")
     return rows.groupBy("data_quality_flag").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count("overheating_flag").alias("judged"),
@@ -361,6 +366,18 @@ def stream_hvac_graded(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_hvac_deduplicated(spark: SparkSession, d: str) -> DataFrame:
-    rows = stages.deduplicated(_stream(spark, d), P.HVAC, DELAY)
+    rows = stages.deduplicated(_hvac_stream(spark, d), P.HVAC, DELAY)
     keyed = rows.select("timestamp", "equipment_id").where(F.col("timestamp").isNotNull())
     return _run(keyed, "stream-dedup")
+
+
+@query
+def stream_utility_daily_summary(spark: SparkSession, d: str) -> DataFrame:
+    enriched = stages.graded(_stream(spark, d, views.UTILITY_RAW, "lineitem"), P.UTILITY)
+    return _run(stages.utility_daily_summary(enriched, DELAY), "stream-utility")
+
+
+@query
+def stream_equipment_daily(spark: SparkSession, d: str) -> DataFrame:
+    enriched = stages.graded(_hvac_stream(spark, d), P.HVAC)
+    return _run(stages.equipment_daily(enriched, DELAY), "stream-equipment")

@@ -137,6 +137,13 @@ SELECT *,
 FROM {source}
 """
 
+
+def _closed(source: str) -> str:
+    """Readings of the days a watermark of one hour has passed."""
+    return f"""SELECT * FROM {source} WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY
+    <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM {source})"""
+
+
 _CTES = {
     "hvac_raw": for_duckdb(HVAC_RAW),
     "hvac_norm": _HVAC_NORM,
@@ -152,6 +159,8 @@ _CTES = {
     "utility_clean": _UTILITY_CLEAN,
     "utility_dq": _graded("utility_clean", _UTILITY_RULES),
     "utility_silver": _UTILITY_SILVER.format(source="utility_dq"),
+    "utility_norm_dq": _graded("utility_norm", _UTILITY_RULES),
+    "utility_norm_silver": _UTILITY_SILVER.format(source="utility_norm_dq"),
     "runs_raw": for_duckdb(RUNS_RAW),
 }
 
@@ -209,32 +218,34 @@ ON c.building_id = m.building_id AND c.dt = m.dt
 """
 
 
-_UTILITY_DAILY = f"""
+def _utility_daily(source: str) -> str:
+    return f"""
 SELECT c.*, m.total_actual_consumption_kwh, m.total_estimated_cost, m.avg_variance_pct,
   m.over_consuming_count
 FROM (SELECT building_id, dt, utility_type, count(meter_id) AS total_readings, {_FLAG_COUNTS}
-  FROM utility_silver GROUP BY ALL) c
+  FROM {source} GROUP BY ALL) c
 LEFT JOIN (SELECT building_id, dt, utility_type,
     {_total('actual_consumption_kwh', 1)} AS total_actual_consumption_kwh,
     {_total('estimated_cost', 2)} AS total_estimated_cost,
     round_even({_mean('consumption_variance_pct')}, 1) AS avg_variance_pct,
     count(*) FILTER (WHERE is_over_consuming) AS over_consuming_count
-  FROM utility_silver WHERE data_quality_flag <> 'critical' GROUP BY ALL) m
+  FROM {source} WHERE data_quality_flag <> 'critical' GROUP BY ALL) m
 USING (building_id, dt, utility_type)
 """
 
-_EQUIPMENT_DAILY = f"""
+def _equipment_daily(source: str) -> str:
+    return f"""
 SELECT c.*, m.avg_filter_pressure_drop,
   round_even(m.operational::DOUBLE / c.total_readings * 100, 1) AS uptime_pct
 FROM (SELECT building_id, equipment_id, dt, count(*) AS total_readings, {_FLAG_COUNTS},
     count(*) FILTER (WHERE overheating_flag) AS overheating_count,
     count(*) FILTER (WHERE coolant_leak_flag) AS coolant_leak_count,
     count(*) FILTER (WHERE operational_fault_flag) AS operational_fault_count
-  FROM hvac_fault WHERE equipment_id IS NOT NULL GROUP BY building_id, equipment_id, dt) c
+  FROM {source} WHERE equipment_id IS NOT NULL GROUP BY building_id, equipment_id, dt) c
 LEFT JOIN (SELECT building_id, equipment_id, dt,
     round_even({_mean('filter_pressure_drop')}, 2) AS avg_filter_pressure_drop,
     count(*) FILTER (WHERE lower(status_flag) = 'operational') AS operational
-  FROM hvac_fault WHERE data_quality_flag <> 'critical' GROUP BY building_id, equipment_id, dt) m
+  FROM {source} WHERE data_quality_flag <> 'critical' GROUP BY building_id, equipment_id, dt) m
 ON c.building_id = m.building_id AND c.equipment_id = m.equipment_id AND c.dt = m.dt
 """
 
@@ -349,8 +360,7 @@ ORACLES: dict[str, str] = {
     "utility_dq_run_log": sql(
         f"""SELECT 'run-check' AS run_id, '2026-01-01T00:00:00+00:00' AS logged_at, m.*, d.*
         FROM ({_mix('utility_norm_dq')}) m,
-        ({_duplicates('utility_norm_dq', '"timestamp", meter_id')}) d""",
-        utility_norm_dq=_graded("utility_norm", _UTILITY_RULES),
+        ({_duplicates('utility_norm_dq', '"timestamp", meter_id')}) d"""
     ),
     "hvac_duplicate_audit": sql(_duplicates("hvac_norm", '"timestamp", equipment_id')),
     "lineitem_duplicate_audit": _duplicates("lineitem", "l_orderkey, l_linenumber"),
@@ -385,10 +395,10 @@ ORACLES: dict[str, str] = {
     ),
     "hvac_daily_summary": sql(_hvac_daily("hvac_silver")),
     "hvac_daily_summary_by_join": sql(_hvac_daily("hvac_silver")),
-    "utility_daily_summary": sql(_UTILITY_DAILY),
-    "utility_daily_summary_by_join": sql(_UTILITY_DAILY),
-    "equipment_daily": sql(_EQUIPMENT_DAILY),
-    "equipment_daily_by_join": sql(_EQUIPMENT_DAILY),
+    "utility_daily_summary": sql(_utility_daily("utility_silver")),
+    "utility_daily_summary_by_join": sql(_utility_daily("utility_silver")),
+    "equipment_daily": sql(_equipment_daily("hvac_fault")),
+    "equipment_daily_by_join": sql(_equipment_daily("hvac_fault")),
     "alarm_log": sql(_ALARMS),
     "dim_building": sql(_DIM_BUILDING),
     "dim_equipment": sql(
@@ -438,9 +448,12 @@ ORACLES: dict[str, str] = {
     ),
     "stream_hvac_daily_summary": sql(
         _hvac_daily("closed"),
-        closed="""SELECT * FROM hvac_norm_silver WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY
-        <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM hvac_norm_silver)""",
+        closed=_closed("hvac_norm_silver"),
+    ),
+    "stream_utility_daily_summary": sql(
+        _utility_daily("closed"), closed=_closed("utility_norm_silver")
     ),
+    "stream_equipment_daily": sql(_equipment_daily("closed"), closed=_closed("hvac_norm_silver")),
     "stream_hvac_graded": sql(
         "SELECT data_quality_flag, count(*) AS row_count, count(overheating_flag) AS judged, "
         "count(temp_differential) AS with_kpis FROM hvac_norm_silver GROUP BY data_quality_flag"

@@ -97,7 +97,9 @@ def footers(files: DataFrame) -> DataFrame:
                     rows.append((path, None, None, f"{type(error).__name__}: {error}"))
             yield pd.DataFrame(rows, columns=["path", "signature", "columns", "error"])
 
-    return files.select("path").mapInPandas(read_footers, FOOTERS)
+    # A listing is a few kilobytes in one task; opening its files is the work.
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").repartition(tasks, "path").mapInPandas(read_footers, FOOTERS)
 
 
 def drift_report(footer_rows: DataFrame, expected: Sequence[str]) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterloom import presets as P
 from meterloom.functions import is_critical, ratio, round_half_even
 from meterloom.functions.conditions import FLAG
-from meterloom.operators import cleaning, faults, kpis, quality
+from meterloom.operators import cleaning, faults, kpis, quality, rollups
 from meterloom.operators.faults import status_is
-from meterloom.operators.rollups import ALARM_COLUMNS, alarm_log
 from meterloom.presets import Dataset
 from meterloom.sources import tables
 
@@ -27,11 +28,10 @@ def graded(readings: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def with_event_time(df: DataFrame, delay: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; readings are naive UTC, so the session
-    has to run in UTC (see ``build_session``)."""
-    return df.withColumn(EVENT_TIME, F.col("timestamp").cast("timestamp")).withWatermark(
-        EVENT_TIME, delay
-    )
+    """Watermarks need a zoned timestamp. Readings are naive UTC, and are read as
+    such in any session zone, so days begin where they should."""
+    instant = F.concat(F.col("timestamp").cast("string"), F.lit("Z")).cast("timestamp")
+    return df.withColumn(EVENT_TIME, instant).withWatermark(EVENT_TIME, delay)
 
 
 def deduplicated(df: DataFrame, dataset: Dataset, delay: str) -> DataFrame:
@@ -108,6 +108,26 @@ def hvac_daily_summary(enriched: DataFrame, delay: str) -> DataFrame:
     )
 
 
+def _by_event_day(
+    enriched: DataFrame, delay: str, report: Callable[..., DataFrame], keys: Sequence[str]
+) -> DataFrame:
+    """A batch report over a stream: the event's day joins the keys, so that groups
+    close, and are emitted, once the watermark has passed their day."""
+    rows = with_event_time(enriched, delay) if EVENT_TIME not in enriched.columns else enriched
+    days = rows.withColumn("_day", F.window(EVENT_TIME, "1 day"))
+    return report(days, keys=(*keys, "_day")).drop("_day")
+
+
+def utility_daily_summary(enriched: DataFrame, delay: str) -> DataFrame:
+    keys = rollups.BUILDING_DAY_TYPE
+    return _by_event_day(enriched, delay, rollups.utility_daily_summary, keys)
+
+
+def equipment_daily(faulty: DataFrame, delay: str) -> DataFrame:
+    keys = rollups.BUILDING_UNIT_DAY
+    return _by_event_day(faulty, delay, rollups.equipment_daily, keys)
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream's rows to a Parquet table, each exactly once."""
     writer = df.writeStream.format("parquet").outputMode("append")
@@ -138,14 +158,3 @@ def start_grading(
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
-
-__all__ = [
-    "ALARM_COLUMNS",
-    "alarm_log",
-    "deduplicated",
-    "graded",
-    "hvac_daily_summary",
-    "start_append",
-    "start_grading",
-    "with_event_time",
-]

@@ -90,3 +90,11 @@ def test_graded_stream_with_quarantine(spark, tmp_path):
     critical = expected.where("data_quality_flag = 'critical'").count()
     assert tables.scan(spark, f"{root}/validated").count() == expected.count()
     assert tables.scan(spark, f"{root}/quarantine").count() == critical > 0
+
+
+def test_other_reports_over_a_stream(spark, tmp_path):
+    batch, stream = raw_stream(spark, tmp_path)
+    found = run(stages.equipment_daily(stages.graded(stream, P.HVAC), "1 hour"), tmp_path, "units")
+    expected = rollups.equipment_daily(batch_form(batch)).where("dt < '2026-01-07'")
+    assert expected.count() > 0
+    assert same(found, expected)
