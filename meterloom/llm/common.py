@@ -5,9 +5,13 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+import meterloom
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 #: A word is a longest run of anything but these six ASCII white-space characters.
@@ -47,6 +51,30 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@functools.cache
+def _shipped(application: str) -> str:
+    package = Path(meterloom.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="meterloom-code-")) / "meterloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, module.relative_to(package.parent))
+    return str(archive)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package, wherever they run."""
+    context = spark.sparkContext
+    archive = _shipped(context.applicationId)
+    if Path(archive).name not in {Path(f).name for f in context._python_includes}:
+        context.addPyFile(archive)
+
+
+def mapped(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {column.lower() for column in df.columns}

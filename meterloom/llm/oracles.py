@@ -36,4 +36,54 @@ SELECT doc_id, size, source_size, target,
 FROM running
 """
 
-ORACLES = {"op10_source_mix": OP10}
+BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP8 = f"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, {BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+repeated AS (
+  SELECT key, max(doc_id) AS largest FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT k.doc_id, k.pos, k.line, coalesce(k.doc_id <> r.largest, false) AS gone
+  FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+#: Exact for the table sizes of the correctness check; pairs are listed through shared shingles.
+OP7 = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM worded),
+cells AS (SELECT doc_id, unnest(s) AS sh, len(s) AS n FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM cells a JOIN cells b ON a.sh = b.sh AND a.doc_id < b.doc_id
+   AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM shared WHERE 100 * o >= 90 * (nx + ny - o)
+  UNION ALL SELECT y, x FROM shared WHERE 100 * o >= 90 * (nx + ny - o)),
+reach AS (
+  SELECT doc_id, doc_id AS component FROM sets
+  UNION SELECT l.x, r.component FROM reach r JOIN links l ON l.y = r.doc_id AND r.component < l.x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id
+FROM sets s JOIN (SELECT doc_id, min(component) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
+"""
+
+ORACLES = {
+    "op7_shingle_components": OP7,
+    "op8_repeated_lines": OP8,
+    "op10_source_mix": OP10,
+}

@@ -4,24 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterloom.llm import mixing, quality
+from meterloom.llm import langid, linededup, mixing, overlap, packing, quality, tokens
 from meterloom.llm.common import table
 from meterloom.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def op1_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    named = langid.identified(docs)
+    return named.select(
+        "doc_id",
+        langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 def op2_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokens.token_counts(table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+def op7_shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.near_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+def op8_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op9_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), path, size=2048, end=1)
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hyperdimensional_language": op1_hyperdimensional_language,
     "op2_quality_votes": op2_quality_votes,
+    "op5_token_counts": op5_token_counts,
+    "op7_shingle_components": op7_shingle_components,
+    "op8_repeated_lines": op8_repeated_lines,
+    "op9_packed_windows": op9_packed_windows,
     "op10_source_mix": op10_source_mix,
 }
