@@ -1,13 +1,69 @@
-"""The corpus pipeline: raw documents to packed training sequences."""
+"""The corpus pipeline: raw documents to packed training sequences.
+
+Every stage works on all rows its predecessor kept; all but the last return the columns of
+``documents``. Run under a session whose ``spark.checkpoint.dir`` is a shared folder.
+
+1. Language id: documents without a letter, or with a text unlike any learned language
+   (cosine under LEAST_SCORE), go.
+2. Line dedup: repeated lines of 20 code points and more stay in one document only.
+3. N-gram Jaccard join (five words, 0.8): one document of each group of near copies stays.
+4. Mixing: sources are sampled or repeated towards their target weights.
+5. Packing: token windows of 2,048.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterloom.llm import langid, linededup, mixing, overlap, packing
+from meterloom.llm.common import fresh, kept, table
+
+#: Cosine with the nearest language below which a text counts as none.
+LEAST_SCORE = 0.05
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    into = fresh(docs, "language")
+    named = langid.identified(docs, into=into)
+    good = (F.col(into)["lang"] != langid.UNKNOWN) & (F.col(into)["score"] >= LEAST_SCORE)
+    return named.where(good).drop(into)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return linededup.without_repeats(docs)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of a group, and documents without id."""
+    return overlap.one_of_each(docs, n=5, percent=80)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end=1)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language id", identify_language),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram jaccard join", keep_one_of_near_copies),
+    ("mixing sources", mix_sources),
+    ("packing", pack_windows),
+]
+
+#: Prototypes and tokenizers are beyond SQL: tests hold every stage against brute force.
+ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

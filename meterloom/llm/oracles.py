@@ -64,7 +64,7 @@ WITH RECURSIVE worded AS (
   FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' '))) END AS s
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
   FROM worded),
 cells AS (SELECT doc_id, unnest(s) AS sh, len(s) AS n FROM sets),
 shared AS (
@@ -82,7 +82,24 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id
 FROM sets s JOIN (SELECT doc_id, min(component) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 """
 
+OP6 = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
+    "op6_top_products": OP6,
     "op7_shingle_components": OP7,
     "op8_repeated_lines": OP8,
     "op10_source_mix": OP10,

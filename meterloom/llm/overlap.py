@@ -18,8 +18,8 @@ Rows of equal sets are collapsed before and expanded after, so copies cost nothi
 
 Defined cases: null and empty texts have no shingles and link with nothing; a document
 with fewer words than ``n`` has one shingle, its word sequence; a null id takes no part in
-links and has a null component; rows that share an id share a component; an empty table gives an empty
-result; other columns are ignored. Shingles are compared by 64-bit hashes, sets by 128 bits.
+links and has a null component; rows that share an id link each for itself; an empty table gives
+an empty result; other columns are ignored. Shingles are compared by 64-bit hashes, sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.arrays import flat, lists, mixed, shingles
-from meterloom.llm.common import kept, mapped
+from meterloom.llm.common import fresh, kept, mapped
 
 #: Columns that every task can tell as common: 16 bytes each, the most frequent ones.
 #: Which columns these are changes the order, hence the work, and never the links.
@@ -283,3 +283,17 @@ def near_components(
         F.col("size").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` without near copies: of every component the rows of its smallest id stay.
+
+    Rows without id stay. Of rows that share the smallest id and the text, all stay: they
+    cannot be told apart by id.
+    """
+    groups = near_components(docs, n, percent, doc_id, text)
+    name = fresh(docs, "overlap_id")
+    losers = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(losers, docs[doc_id] == losers[name], "left_anti")

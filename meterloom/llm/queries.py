@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import langid, linededup, mixing, overlap, packing, quality, tokens
+from meterloom.llm import langid, linededup, mixing, nearest, overlap, packing, pages, quality, suffix, tokens
 from meterloom.llm.common import table
 from meterloom.llm.oracles import ORACLES
 
@@ -30,11 +30,23 @@ def op2_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return tokens.token_counts(table(spark, sf_dir, "documents"), path, limit=1024)
 
 
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op7_shingle_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.near_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -55,7 +67,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperdimensional_language": op1_hyperdimensional_language,
     "op2_quality_votes": op2_quality_votes,
+    "op3_repeated_bytes": op3_repeated_bytes,
+    "op4_main_text": op4_main_text,
     "op5_token_counts": op5_token_counts,
+    "op6_top_products": op6_top_products,
     "op7_shingle_components": op7_shingle_components,
     "op8_repeated_lines": op8_repeated_lines,
     "op9_packed_windows": op9_packed_windows,
