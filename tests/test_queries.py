@@ -7,11 +7,14 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from meterloom.plans.catalog import QUERIES
+from meterloom.plans.oracles import ORACLES
 
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
