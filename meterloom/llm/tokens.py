@@ -35,14 +35,18 @@ from meterloom.llm.common import kept, mapped
 COMMON, COMMON_CHARS = 1 << 18, 24
 #: Characters of text whose units are in memory at once.
 PIECE = 1 << 20
-#: Words a worker remembers the ids of.
-REMEMBERED = 1 << 18
+#: Distinct units a task sums before it sends them.
+SENT = 1 << 18
+#: Words of each of the two generations that a worker remembers the ids of.
+REMEMBERED = 1 << 19
 #: Longer words are not remembered.
 WORD_CHARS = 64
 
 # White space as the tokenizer's pattern has it: Python's without the four separators.
 _WHITE, _BLACK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 UNIT = re.compile(f"{_WHITE}*{_BLACK}+|{_WHITE}+")
+#: A stop or comma behind anything but a plain letter, digit or gap: both may be one piece.
+MARK_RUN = re.compile(r"[.,](?<=[^0-9A-Za-zÀ-ÖØ-öø-ÿ \n][.,])")
 DOUBLE_WHITE = re.compile(r"\s\s")
 
 Rows = Iterator[pa.RecordBatch]
@@ -97,7 +101,7 @@ def unit_table(docs: DataFrame, path: str) -> DataFrame:
             for _, texts in portions(batch, 0):
                 for text in texts:
                     seen.update(set(units(text)))
-                if len(seen) > REMEMBERED:
+                if len(seen) > SENT:
                     yield _counter(seen)
                     seen = Counter()
             yield _counter(seen)
@@ -184,31 +188,59 @@ def token_counts(
     return summed.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
-class WordIds:
-    """Token ids of texts whose words, cut at spaces and line ends, are remembered.
+def plain_words(text: str) -> list[str]:
+    """A text cut where a lower-casing tokenizer that drops white space cuts it too:
+    at spaces and line ends, and before a stop or comma that follows a Latin letter or digit.
 
-    For tokenizers that drop white space and take words one by one.
+    Latin-1 texts are lower-cased first, as every such character has one lower case and
+    no other composed form; not so where a special string might then arise.
     """
+    if text.isascii() or _latin(text):
+        if "<|" not in text:
+            text = text.lower()
+    if not MARK_RUN.search(text):
+        text = text.replace(".", " .").replace(",", " ,")
+    return text.replace("\n", " ").split(" ")
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class WordIds:
+    """Token ids of texts whose :func:`plain_words` are remembered, two generations
+    of REMEMBERED words: what was used since the last change outlives the next."""
 
     def __init__(self, path: str) -> None:
         self.path = path
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text (unsigned 32-bit)."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = [word for word in set().union(*split) if word not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(set().union(*split))
-        ids = tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)
-        known = self.known
-        for word, encoding in zip(new, ids, strict=True):
-            known[word] = np.array(encoding.ids, np.uint32).tobytes()
-        found = [np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint32) for words in split]
+        split = [plain_words(text) for text in texts]
+        wanted = set().union(*split)
+        if len(self.young) + len(wanted) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        missing = [word for word in wanted if word not in young]
+        new = []
+        for word in missing:
+            ids = old.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                young[word] = ids
+        for word, encoding in zip(new, tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
+            young[word] = np.array(encoding.ids, np.uint32).tobytes()
+        found = [np.frombuffer(b"".join(map(young.__getitem__, words)), np.uint32) for words in split]
         for word in new:
             if len(word) > WORD_CHARS:
-                del known[word]
+                del young[word]
         return found
 
 
