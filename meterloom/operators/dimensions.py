@@ -36,6 +36,12 @@ def dim_meter(utility: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def building_texts(building: Column, building_types: Mapping[str, str]) -> list[Column]:
+    """Name and type of a building follow from its id."""
+    name = F.concat(F.lit("Building "), F.substring(building, 2, 1 << 30))
+    return [name.alias("building_name"), _lookup(building, building_types).alias("building_type")]
+
+
 def dim_building(
     hvac: DataFrame,
     utility: DataFrame,
@@ -51,8 +57,7 @@ def dim_building(
     building = F.col("building_id")
     return units.join(meters, "building_id", "full").select(
         "building_id",
-        F.concat(F.lit("Building "), F.substring(building, 2, 1 << 30)).alias("building_name"),
-        _lookup(building, building_types).alias("building_type"),
+        *building_texts(building, building_types),
         F.coalesce("equipment_count", F.lit(0)).alias("equipment_count"),
         F.coalesce("meter_count", F.lit(0)).alias("meter_count"),
     )
@@ -93,9 +98,10 @@ def dim_date_of(facts: DataFrame, day_column: str = "dt") -> DataFrame:
 
 
 def dim_alarm_type(spark: SparkSession, alarm_types=P.ALARM_TYPES) -> DataFrame:
-    return spark.createDataFrame(
-        list(alarm_types), "alarm_type string, description string, category string"
-    )
+    """The few fixed types as inline values, whose size the planner knows."""
+    text = lambda value: "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = ", ".join(f"({', '.join(map(text, row))})" for row in alarm_types)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(alarm_type, description, category)")
 
 
 def star(fact: DataFrame, *joins: tuple[DataFrame, list[str]]) -> DataFrame:
@@ -110,25 +116,24 @@ def star(fact: DataFrame, *joins: tuple[DataFrame, list[str]]) -> DataFrame:
     return fact
 
 
-def alarm_star(alarms: DataFrame, alarm_types: DataFrame, buildings: DataFrame) -> DataFrame:
+def alarm_star(
+    alarms: DataFrame,
+    alarm_types: DataFrame,
+    building_types: Mapping[str, str] = P.BUILDING_TYPES,
+) -> DataFrame:
     """Alarms per building and type with the text of both dimensions.
 
-    Counted before the joins, so only group rows meet the dimensions.
+    Counted before the join, so only group rows meet the types; what the building
+    dimension would add follows from the building's id.
     """
     counted = alarms.groupBy("building_id", "alarm_type").agg(
         F.count(F.lit(1)).alias("alarm_count"),
         F.min("timestamp").alias("first_alarm"),
         F.max("timestamp").alias("last_alarm"),
     )
-    named = star(
-        counted,
-        (alarm_types, ["alarm_type"]),
-        (buildings.select("building_id", "building_name", "building_type"), ["building_id"]),
-    )
-    return named.select(
+    return star(counted, (alarm_types, ["alarm_type"])).select(
         "building_id",
-        "building_name",
-        "building_type",
+        *building_texts(F.col("building_id"), building_types),
         "alarm_type",
         "category",
         "description",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from meterloom.functions.conditions import FLAG
 from meterloom.operators.quality import ISSUES
 
-GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Tasks that a flag is sorted in when its first rows are looked for.
+SAMPLE_BUCKETS = 200
 
 
 def with_severity(graded: DataFrame, severity: str = "any") -> DataFrame:
@@ -83,19 +84,17 @@ def flag_samples(
 ) -> DataFrame:
     """The first rows of each flag.
 
-    Up to Spark's group-limit threshold every map task keeps ``limit`` rows per
-    flag before the shuffle. Beyond it each flag is sorted over all tasks and cut,
-    so that no task holds a whole flag.
+    Cut twice, with one scan: first to ``limit`` rows per flag and bucket of rows,
+    then per flag, so no task sorts a whole flag, whatever the limit.
     """
     shown = [id_column, FLAG, *kpi_columns]
     order = list(order_by) or ["timestamp", *shown]
-    threshold = int(enriched.sparkSession.conf.get(GROUP_LIMIT))
-    if limit <= threshold:
-        window = Window.partitionBy(FLAG).orderBy(*order)
-        ranked = enriched.withColumn("_rank", F.row_number().over(window))
-        return ranked.where(F.col("_rank") <= limit).select(*shown)
-    parts = [
-        enriched.where(F.col(FLAG) == flag).orderBy(*order).limit(limit).select(*shown)
-        for flag in ("clean", "warning", "critical")
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    bucket = F.pmod(F.xxhash64(*order), F.lit(SAMPLE_BUCKETS))
+
+    def first(rows: DataFrame, *keys: str) -> DataFrame:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = rows.withColumn("_rank", F.row_number().over(window))
+        return ranked.where(F.col("_rank") <= limit).drop("_rank")
+
+    part = first(enriched.withColumn("_bucket", bucket), FLAG, "_bucket")
+    return first(part, FLAG).select(*shown)

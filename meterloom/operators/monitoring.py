@@ -6,6 +6,8 @@ import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def append_history(record: DataFrame, path: str) -> bool:
     try:
         record.coalesce(1).write.mode("append").parquet(path)
         return True
-    except Exception as error:  # noqa: BLE001
+    except (PySparkException, Py4JJavaError) as error:
         warnings.warn(f"could not append to {path}: {error}", RuntimeWarning, stacklevel=2)
         return False
 

@@ -7,6 +7,7 @@ landing -> bronze -> staging -> dq_validated (+ quarantine, dq_logs)
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -19,9 +20,8 @@ from meterloom import presets as P
 from meterloom.operators import cleaning, dimensions, faults, kpis, quality, rollups
 from meterloom.operators.cleaning import RUN_ID
 from meterloom.presets import Dataset
-from meterloom.session import scratch_folder
 from meterloom.sources import landing, tables
-from meterloom.sources.ledger import Ledger, few_ids, new_ids
+from meterloom.sources.ledger import Ledger, id_list, new_ids
 
 # Which layer a dataset's layer is built from.
 UPSTREAM = {
@@ -60,6 +60,10 @@ class Lake:
         file and its run are committed in one write."""
         return Ledger(self.spark, f"{self.root}/_ledgers/bronze/{dataset.name}", "path")
 
+    def plan(self, dataset: Dataset) -> Ledger:
+        """The landing files taken up, with the run that lands each."""
+        return Ledger(self.spark, f"{self.root}/_ledgers/plan/{dataset.name}", "path")
+
     def table(
         self, layer: str, dataset: Dataset, merge_schema: bool = False
     ) -> DataFrame | None:
@@ -68,9 +72,11 @@ class Lake:
     def finished(self, layer: str, dataset: Dataset) -> DataFrame | None:
         """The layer's table with its extra columns, without what a run that died
         half way left behind."""
-        table = self.table(layer, dataset, merge_schema=True)
-        ids = self.runs(layer, dataset).ids()
-        return None if table is None else table.join(ids, RUN_ID, "left_semi")
+        return self.of_runs(layer, dataset, id_list(self.runs(layer, dataset).ids(), RUN_ID))
+
+    def of_runs(self, layer: str, dataset: Dataset, run_ids: Sequence[str]) -> DataFrame | None:
+        """The rows of these runs, from their folders alone."""
+        return tables.scan_runs(self.spark, self.path(layer, dataset.name), run_ids)
 
 
 # ---------------------------------------------------------------------------
@@ -83,9 +89,11 @@ def land_files(
     spark = lake.spark
     tables.check_run_id(run_id)
     named, unnamed = landing.split_by_path(files, dataset.path_keys)
-    rows = landing.read_landing(spark, named, dataset, ingested_at or now(), run_id)
+    rows, drift = landing.read_landing(spark, named, dataset, ingested_at or now(), run_id)
     if rows is not None:
         tables.append_runs(rows, lake.path("bronze", dataset.name), rebalance=True)
+        drift = drift.withColumn(RUN_ID, F.lit(run_id))
+        tables.append_runs(drift, lake.path("drift", dataset.name), partition_by=(RUN_ID,))
     reason = F.lit("no partition in path").alias("reason")
     rejects = unnamed.select("path", reason, F.lit(run_id).alias(RUN_ID))
     tables.append_runs(rejects, lake.path("rejects", dataset.name), partition_by=(RUN_ID,))
@@ -93,37 +101,56 @@ def land_files(
     lake.files(dataset).commit(files.select("path", landed))
 
 
-def ingest(
-    lake: Lake,
-    landing_root: str,
-    dataset: Dataset,
-    max_files: int = landing.MAX_FILES,
-    again: bool = False,
-) -> list[str]:
-    """Ingest the landing files not seen yet, in rounds of about ``max_files``.
+def _planned(lake: Lake, dataset: Dataset) -> DataFrame:
+    """path and run of every file that was ever taken up, landed or not."""
+    schema = f"path string, {RUN_ID} string, committed_at timestamp"
+    return tables.scan(lake.spark, lake.plan(dataset).path, schema).select("path", RUN_ID)
+
 
-    Returns the run ids, one per round. ``again`` takes every file, seen or not.
+def _land_planned(lake: Lake, dataset: Dataset) -> list[str]:
+    """Land the planned runs that are not in bronze's ledger, oldest plan first.
+
+    A run that died half way has its old name and its old files, so it replaces
+    what it left.
     """
-    spark = lake.spark
-    files = landing.list_landing(spark, landing_root).select("path")
-    if not again:
-        files = files.join(lake.files(dataset).ids(), "path", "left_anti")
-    # The listing is fixed in a table: files that arrive while rounds are being
-    # worked through belong to the next call, and lineage ends here.
+    open_files = _planned(lake, dataset).join(lake.files(dataset).ids(), "path", "left_anti")
+    run_ids = sorted(row[RUN_ID] for row in open_files.select(RUN_ID).distinct().collect())
+    for run_id in run_ids:
+        planned = _planned(lake, dataset).where(F.col(RUN_ID) == run_id).select("path")
+        land_files(lake, planned, dataset, run_id)
+    return run_ids
+
+
+def _plan(lake: Lake, files: DataFrame, dataset: Dataset, max_files: int) -> DataFrame | None:
+    """Names a run for each of ``files`` (path), about ``max_files`` to a run."""
     total = files.count()
     if total == 0:
-        return []
-    rounds = -(-total // max_files)
-    fixed = scratch_folder(spark, "listing") + "/files"
-    numbered = files.withColumn("round", F.pmod(F.xxhash64("path"), F.lit(rounds)))
-    numbered.repartition("round").write.partitionBy("round").parquet(fixed)
-    listing = spark.read.schema("path string, round int").parquet(fixed)
-    run_ids = []
-    for number in range(rounds):
-        run_id = new_run_id()
-        land_files(lake, listing.where(F.col("round") == number).select("path"), dataset, run_id)
-        run_ids.append(run_id)
-    return run_ids
+        return None
+    name, rounds = new_run_id(), -(-total // max_files)
+    number = F.pmod(F.xxhash64("path"), F.lit(rounds))
+    run = F.concat(F.lit(f"{name}-"), F.lpad(number.cast("string"), 6, "0"))
+    return files.select("path", run.alias(RUN_ID))
+
+
+def ingest(
+    lake: Lake, landing_root: str, dataset: Dataset, max_files: int = landing.MAX_FILES
+) -> list[str]:
+    """Ingest the landing files not seen yet; returns the run ids.
+
+    The files are first written to a plan, with the run that is to land them, and
+    then landed. A call that died is finished by the next one, under the same
+    run ids, before new files are taken up; no reading lands twice.
+    ``max_files`` is how many paths pass through the driver at a time, on average.
+    """
+    finished = _land_planned(lake, dataset)
+    files = landing.list_landing(lake.spark, landing_root).select("path")
+    known = _planned(lake, dataset).select("path").union(lake.files(dataset).ids())
+    new = files.join(known, "path", "left_anti")
+    plan = _plan(lake, new, dataset, max_files)
+    if plan is None:
+        return finished
+    lake.plan(dataset).commit(plan)
+    return finished + _land_planned(lake, dataset)
 
 
 # ---------------------------------------------------------------------------
@@ -147,30 +174,20 @@ def transform_for(
 
 def advance(
     lake: Lake, layer: str, dataset: Dataset, dedup_scope: str = "batch"
-) -> list[str] | None:
-    """Process the upstream runs ``layer`` has not seen.
+) -> list[str]:
+    """Process the upstream runs ``layer`` has not seen; returns their ids.
 
-    Returns their ids, or None when there were too many to name. A missing
-    upstream table has no new runs.
+    A missing upstream table has no new runs. Staging counts what it took in,
+    kept and dropped in ``stage_counts``.
     """
     if dedup_scope not in ("batch", "table"):
         raise ValueError(f"dedup_scope must be 'batch' or 'table', not {dedup_scope!r}")
-    spark = lake.spark
     upstream = UPSTREAM[dataset.name][layer]
-    source, target = lake.path(upstream, dataset.name), lake.path(layer, dataset.name)
     seen = lake.runs(layer, dataset)
-    pending = new_ids(lake.runs(upstream, dataset).ids(), seen.ids(), RUN_ID)
-    named = few_ids(pending, RUN_ID)
-    if named == []:
+    named = id_list(new_ids(lake.runs(upstream, dataset).ids(), seen.ids(), RUN_ID), RUN_ID)
+    if not named:
         return []
-    if named is not None:
-        rows = tables.scan_runs(spark, source, named)
-    else:
-        # The ledger written below feeds `pending`; fix it in a table first.
-        fixed = scratch_folder(spark, "runs") + "/ids"
-        pending.write.parquet(fixed)
-        pending = spark.read.parquet(fixed)
-        rows = tables.scan(spark, source, merge_schema=True).join(pending, RUN_ID, "left_semi")
+    rows = lake.of_runs(upstream, dataset, named)
     if rows is not None:
         known = None
         if layer == "staging" and dedup_scope == "table":
@@ -178,18 +195,39 @@ def advance(
         # Deduplication spreads a folder's rows over all tasks; gather them again.
         # The other layers keep the layout of what they read.
         result = transform_for(layer, dataset, known)(rows)
+        target = lake.path(layer, dataset.name)
         tables.append_runs(result, target, rebalance=layer == "staging")
+        if layer == "staging":
+            _count(lake, dataset, rows, named)
         if layer == "dq_validated":
-            _after_grading(lake, dataset, named, pending)
-    if named is not None:
-        seen.commit_values(named)
-    else:
-        seen.commit(pending)
+            _after_grading(lake, dataset, named)
+    seen.commit_values(named)
     return named
 
 
+def increment_id(run_ids: Sequence[str]) -> str:
+    """A name for the work on these runs, the same when it is done again."""
+    return "inc-" + hashlib.sha256("\n".join(sorted(run_ids)).encode()).hexdigest()[:32]
+
+
+def _count(lake: Lake, dataset: Dataset, rows: DataFrame, named: list[str]) -> None:
+    """Rows in, rows kept, duplicates and runs of one increment of staging."""
+    rows_in = rows.agg(F.count(F.lit(1)).alias("rows_in"))
+    made = lake.of_runs("staging", dataset, named)
+    kept = 0 if made is None else made.count()
+    counted = rows_in.select(
+        "rows_in",
+        F.lit(kept).cast("long").alias("rows_out"),
+        (F.col("rows_in") - kept).alias("duplicates_removed"),
+        F.lit(len(named)).cast("long").alias("new_runs"),
+        F.lit(now()).alias("logged_at"),
+        F.lit(increment_id(named)).alias(RUN_ID),
+    )
+    tables.append_runs(counted, lake.path("stage_counts", dataset.name), partition_by=(RUN_ID,))
+
+
 def _known_keys(
-    lake: Lake, dataset: Dataset, rows: DataFrame, named: list[str] | None
+    lake: Lake, dataset: Dataset, rows: DataFrame, named: list[str]
 ) -> DataFrame | None:
     """Keys already in staging that the new rows could repeat.
 
@@ -197,58 +235,109 @@ def _known_keys(
     new rows, which Parquet statistics turn into skipped row groups. Runs being
     replayed do not count as known.
     """
-    table = lake.table("staging", dataset)
+    table = lake.finished("staging", dataset)
     if table is None:
         return None
-    if named is not None:
-        table = table.where(~F.col(RUN_ID).isin(named))
     stamps = cleaning.normalise(rows.select("timestamp"), dataset)
     span = stamps.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high")).first()
     stamp = F.col("timestamp")
     within = stamp.isNull()
     if span["low"] is not None:
         within = within | stamp.between(F.lit(span["low"]), F.lit(span["high"]))
-    return table.where(within)
+    return table.where(within & ~F.col(RUN_ID).isin(named))
 
 
-def _after_grading(
-    lake: Lake, dataset: Dataset, named: list[str] | None, pending: DataFrame
-) -> None:
-    """Quarantine and run log, both read back from the table just written."""
-    graded = lake.path("dq_validated", dataset.name)
-    if named is not None:
-        rows = tables.scan_runs(lake.spark, graded, named)
-    else:
-        rows = tables.scan(lake.spark, graded, merge_schema=True).join(pending, RUN_ID, "left_semi")
+def _after_grading(lake: Lake, dataset: Dataset, named: list[str]) -> None:
+    """Quarantine and run log, both read back from the table just written; done
+    again for the same runs, both replace what they wrote."""
+    rows = lake.of_runs("dq_validated", dataset, named)
     if rows is None:
         return
     tables.append_runs(quality.quarantined(rows), lake.path("quarantine", dataset.name))
-    log = quality.run_log(rows, dataset.dedup_keys, new_run_id(), now())
-    log.coalesce(1).write.mode("append").parquet(lake.path("dq_logs", dataset.name))
+    log = quality.run_log(rows, dataset.dedup_keys, increment_id(named), now())
+    tables.append_runs(log, lake.path("dq_logs", dataset.name), partition_by=("run_id",))
 
 
-def rebuild(lake: Lake, layer: str, dataset: Dataset) -> None:
-    """Make a layer anew from its whole upstream, and every layer after it.
+def rebuild(
+    lake: Lake,
+    layer: str,
+    dataset: Dataset,
+    landing_root: str | None = None,
+    max_files: int = landing.MAX_FILES,
+) -> None:
+    """Make a layer anew from its whole upstream, every layer after it, and the
+    reports built on them. Bronze is made from all landing files.
 
-    Run ids stay what they were, so the layers agree on them afterwards.
+    From staging on, run ids stay what they were, so the layers agree on them
+    afterwards. A rebuild that died is started again.
     """
     order = list(UPSTREAM[dataset.name])
-    for current in order[order.index(layer):]:
+    if layer == "bronze":
+        if landing_root is None:
+            raise ValueError("bronze is rebuilt from a landing_root")
+        files = landing.list_landing(lake.spark, landing_root).select("path")
+        plan = _plan(lake, files, dataset, max_files)
+        for old in ("bronze", "rejects", "drift"):
+            tables.drop(lake.spark, lake.path(old, dataset.name))
+        tables.drop(lake.spark, lake.files(dataset).path)
+        if plan is None:
+            tables.drop(lake.spark, lake.plan(dataset).path)
+        else:
+            lake.plan(dataset).replace(plan)
+            _land_planned(lake, dataset)
+    else:
+        order = order[order.index(layer):]
+    for current in order:
         upstream = UPSTREAM[dataset.name][current]
         rows = lake.finished(upstream, dataset)
         if rows is None:
-            return
+            for gone in order[order.index(current):]:
+                tables.drop(lake.spark, lake.path(gone, dataset.name))
+                tables.drop(lake.spark, lake.runs(gone, dataset).path)
+            break
         result = transform_for(current, dataset)(rows)
         tables.overwrite(result, lake.path(current, dataset.name), tables.PARTITIONS, current == "staging")
-        if current == "dq_validated":
-            graded = lake.table(current, dataset, merge_schema=True)
-            tables.overwrite(
-                quality.quarantined(graded),
-                lake.path("quarantine", dataset.name), tables.PARTITIONS, False,
-            )
-            log = quality.run_log(graded, dataset.dedup_keys, new_run_id(), now())
-            log.coalesce(1).write.mode("append").parquet(lake.path("dq_logs", dataset.name))
         lake.runs(current, dataset).replace(lake.runs(upstream, dataset).ids())
+        if current == "dq_validated":
+            tables.drop(lake.spark, lake.path("quarantine", dataset.name))
+            named = id_list(lake.runs(current, dataset).ids(), RUN_ID)
+            _after_grading(lake, dataset, named)
+    built_on = [r for r in REPORTS if r.dataset.name == dataset.name and r.layer in order]
+    for report in built_on:
+        tables.drop(lake.spark, report_ledger(lake, report).path)
+        tables.drop(lake.spark, lake.path("gold", report.name))
+    _build(lake, built_on)
+
+
+def compact(lake: Lake, layer: str, dataset: Dataset) -> str | None:
+    """Join the finished runs of a layer into one, of few larger files.
+
+    Only runs that every later layer and report has taken are joined, so nothing
+    is processed again. Readers go by the ledger: they see the old runs until it
+    names the new one, then the new one. Returns the new run, or None if fewer than two
+    runs can be joined.
+    """
+    readers = [lake.runs(name, dataset) for name, up in UPSTREAM[dataset.name].items() if up == layer]
+    readers += [
+        report_ledger(lake, report)
+        for report in REPORTS
+        if (report.layer, report.dataset.name) == (layer, dataset.name)
+    ]
+    own = lake.runs(layer, dataset)
+    finished = id_list(own.ids(), RUN_ID)
+    taken = set(finished).intersection(*(id_list(reader.ids(), RUN_ID) for reader in readers))
+    rows = lake.of_runs(layer, dataset, sorted(taken)) if len(taken) > 1 else None
+    if rows is None:
+        return None
+    joined = increment_id(taken)
+    path = lake.path(layer, dataset.name)
+    tables.append_runs(rows.withColumn(RUN_ID, F.lit(joined)), path, rebalance=True)
+    for reader in readers:
+        reader.commit_values([joined])
+    own.rename(sorted(taken), joined)
+    for run_id in taken:
+        tables.drop(lake.spark, f"{path}/{RUN_ID}={run_id}")
+    return joined
 
 
 # ---------------------------------------------------------------------------
@@ -271,20 +360,32 @@ REPORTS = (
 )
 
 
+def report_ledger(lake: Lake, report: Report) -> Ledger:
+    """The runs that a report covers."""
+    return Ledger(lake.spark, f"{lake.root}/_ledgers/gold/{report.name}", RUN_ID)
+
+
 def build_gold(lake: Lake) -> list[str]:
     """Write every report whose upstream exists anew; returns their names.
 
     Reports are laid out by day: a building's day is one row of a summary, far
     too little for a folder of its own.
     """
+    return _build(lake, REPORTS)
+
+
+def _build(lake: Lake, reports: Sequence[Report]) -> list[str]:
     built = []
-    for report in REPORTS:
-        rows = lake.table(report.layer, report.dataset)
+    for report in reports:
+        # The list of runs is fixed first: one that ends meanwhile is not marked.
+        named = id_list(lake.runs(report.layer, report.dataset).ids(), RUN_ID)
+        rows = lake.of_runs(report.layer, report.dataset, named)
         if rows is not None:
             target = lake.path("gold", report.name)
             tables.overwrite(report.build(rows), target, REPORT_PARTITIONS)
-            done = Ledger(lake.spark, f"{lake.root}/_ledgers/gold/{report.name}", RUN_ID)
-            done.replace(lake.runs(report.layer, report.dataset).ids())
+            done = report_ledger(lake, report)
+            tables.drop(lake.spark, done.path)
+            done.commit_values(named)
             built.append(report.name)
     return built
 
@@ -292,29 +393,28 @@ def build_gold(lake: Lake) -> list[str]:
 def refresh_gold(lake: Lake) -> list[str]:
     """Recompute only the days that runs not reported yet have touched.
 
-    Those days are read whole, from all runs, and replace their partitions, so
-    the tables equal a full build and a replay changes nothing.
+    Those days are read whole, from all finished runs, and replace their
+    partitions, so the tables equal a full build and a replay changes nothing.
+    Runs only ever add rows to a day, so none loses its report.
     """
     refreshed = []
     by_day = list(REPORT_PARTITIONS)
     for report in REPORTS:
-        done = Ledger(lake.spark, f"{lake.root}/_ledgers/gold/{report.name}", RUN_ID)
-        upstream = lake.runs(report.layer, report.dataset).ids()
-        named = few_ids(new_ids(upstream, done.ids(), RUN_ID), RUN_ID)
-        if named == []:
-            continue
-        rows = lake.table(report.layer, report.dataset)
-        if rows is None:
+        done = report_ledger(lake, report)
+        upstream = id_list(lake.runs(report.layer, report.dataset).ids(), RUN_ID)
+        seen = set(id_list(done.ids(), RUN_ID))
+        named = [run_id for run_id in upstream if run_id not in seen]
+        rows = lake.of_runs(report.layer, report.dataset, upstream)
+        new = lake.of_runs(report.layer, report.dataset, named)
+        if not named or rows is None:
             continue
-        target = lake.path("gold", report.name)
-        if named is None:
-            tables.overwrite(report.build(rows), target, by_day)
-            done.replace(upstream)
-        else:
-            touched = rows.where(F.col(RUN_ID).isin(named)).select(*by_day).distinct()
+        if new is not None:
+            touched = new.select(*by_day).distinct()
             days = rows.join(touched, by_day, "left_semi")
-            tables.overwrite(report.build(days), target, by_day, touched_only=True)
-            done.commit_values(named)
+            tables.overwrite(
+                report.build(days), lake.path("gold", report.name), by_day, touched_only=True
+            )
+        done.commit_values(named)
         refreshed.append(report.name)
     return refreshed
 
@@ -325,7 +425,7 @@ def build_dimensions(lake: Lake, year: int) -> list[str]:
         "dim_alarm_type": dimensions.dim_alarm_type(spark),
         "dim_date": dimensions.dim_date(spark, year),
     }
-    hvac, utility = lake.table("staging", P.HVAC), lake.table("staging", P.UTILITY)
+    hvac, utility = lake.finished("staging", P.HVAC), lake.finished("staging", P.UTILITY)
     if hvac is not None:
         made["dim_equipment"] = dimensions.dim_equipment(hvac)
     if utility is not None:
@@ -339,7 +439,7 @@ def build_dimensions(lake: Lake, year: int) -> list[str]:
 
 def advance_all(
     lake: Lake, datasets: Sequence[Dataset] = (P.HVAC, P.UTILITY), dedup_scope: str = "batch"
-) -> dict[tuple[str, str], list[str] | None]:
+) -> dict[tuple[str, str], list[str]]:
     """Every layer between bronze and gold, for the given datasets."""
     return {
         (layer, dataset.name): advance(

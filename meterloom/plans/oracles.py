@@ -138,12 +138,6 @@ FROM {source}
 """
 
 
-def _closed(source: str) -> str:
-    """Readings of the days a watermark of one hour has passed."""
-    return f"""SELECT * FROM {source} WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY
-    <= (SELECT max("timestamp") - INTERVAL 1 HOUR FROM {source})"""
-
-
 _CTES = {
     "hvac_raw": for_duckdb(HVAC_RAW),
     "hvac_norm": _HVAC_NORM,
@@ -340,6 +334,22 @@ FROM (SELECT count(*) AS n FROM {source} GROUP BY {keys})
 
 _STATUS_COLUMNS = [f"{stage}_status" for stage in P.STAGES]
 
+_DELIVERY = "CASE WHEN substr(dt, 9, 2) <= '15' THEN '1' ELSE '2' END"
+
+
+def _landed_gold(ingested_at: str) -> str:
+    """On disk a folder's path stands where the feed's own file names stood."""
+    return sql(
+        _hvac_daily("landed_silver"),
+        landed_norm=f"SELECT * REPLACE ({ingested_at} AS _ingested_at, "
+        "building_id || dt AS _source_file, '' AS _pipeline_run_id) FROM hvac_norm",
+        landed_clean=_HVAC_CLEAN.replace("FROM hvac_norm", "FROM landed_norm"),
+        landed_dq=_graded("landed_clean", _HVAC_RULES),
+        landed_fault=_HVAC_FAULTS.format(source="landed_dq"),
+        landed_silver=_HVAC_SILVER.format(source="landed_fault"),
+    )
+
+
 ORACLES: dict[str, str] = {
     "hvac_clean": sql("SELECT * FROM hvac_clean"),
     "utility_clean": sql("SELECT * FROM utility_clean"),
@@ -446,20 +456,15 @@ ORACLES: dict[str, str] = {
         h.warning + u.warning, h.critical + u.critical
         FROM ({_mix('hvac_dq')}) h, ({_mix('utility_dq')}) u"""
     ),
-    "stream_hvac_daily_summary": sql(
-        _hvac_daily("closed"),
-        closed=_closed("hvac_norm_silver"),
-    ),
-    "stream_utility_daily_summary": sql(
-        _utility_daily("closed"), closed=_closed("utility_norm_silver")
-    ),
-    "stream_equipment_daily": sql(_equipment_daily("closed"), closed=_closed("hvac_norm_silver")),
+    "stream_hvac_daily_summary": sql(_hvac_daily("hvac_norm_silver")),
+    "stream_utility_daily_summary": sql(_utility_daily("utility_norm_silver")),
+    "stream_equipment_daily": sql(_equipment_daily("hvac_norm_silver")),
     "stream_hvac_graded": sql(
         "SELECT data_quality_flag, count(*) AS row_count, count(overheating_flag) AS judged, "
         "count(temp_differential) AS with_kpis FROM hvac_norm_silver GROUP BY data_quality_flag"
     ),
     "stream_hvac_deduplicated": sql(
-        """SELECT DISTINCT "timestamp", equipment_id FROM hvac_norm WHERE "timestamp" IS NOT NULL"""
+        """SELECT DISTINCT "timestamp", equipment_id FROM hvac_norm"""
     ),
     "lake_hvac_bronze": sql(
         """SELECT building_id, dt, count(*) AS readings, count(outdoor_air_temp) AS outdoor_readings,
@@ -469,14 +474,24 @@ ORACLES: dict[str, str] = {
           THEN NULL ELSE fault_code END AS fault_code) FROM hvac_raw)
         GROUP BY building_id, dt"""
     ),
-    # On disk a folder's path stands where the feed's own file names stood.
-    "lake_hvac_gold": sql(
-        _hvac_daily("landed_silver"),
-        landed_norm="SELECT * REPLACE ('' AS _ingested_at, building_id || dt AS _source_file, "
-        "'' AS _pipeline_run_id) FROM hvac_norm",
-        landed_clean=_HVAC_CLEAN.replace("FROM hvac_norm", "FROM landed_norm"),
-        landed_dq=_graded("landed_clean", _HVAC_RULES),
-        landed_fault=_HVAC_FAULTS.format(source="landed_dq"),
-        landed_silver=_HVAC_SILVER.format(source="landed_fault"),
+    "lake_drift": sql(
+        """SELECT building_id, dt,
+        CASE WHEN max(_pipeline_run_id) > 'run-2' THEN 'outdoor_air_temp' ELSE '' END AS missing,
+        CASE WHEN min(_pipeline_run_id) <= 'run-2' THEN 'firmware' ELSE '' END AS extra
+        FROM hvac_raw GROUP BY building_id, dt"""
+    ),
+    "lake_odd_paths": sql(
+        """SELECT 'Main Hall 50%+:' || building_id AS building_id, dt, count(*) AS readings
+        FROM hvac_raw GROUP BY building_id, dt"""
+    ),
+    "lake_stage_counts": sql(
+        """SELECT count(*) AS rows_in, count(DISTINCT ("timestamp", equipment_id)) AS rows_out,
+        count(*) - count(DISTINCT ("timestamp", equipment_id)) AS duplicates_removed
+        FROM hvac_norm WHERE substr(dt, 9, 2) <= '15'"""
     ),
+    "lake_hvac_gold": _landed_gold("''"),
+    "lake_rebuild": _landed_gold("''"),
+    # Of two deliveries the first one's readings survive.
+    "lake_replay": _landed_gold(_DELIVERY),
+    "lake_compacted": _landed_gold(_DELIVERY),
 }

@@ -6,8 +6,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -41,6 +40,23 @@ def build_session(app_name: str = "meterloom", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Set the session's shuffle partitions for work on these tables, by their bytes.
+
+    AQE merges partitions that turn out small and never adds any, so the initial
+    number has to fit the input.
+    """
+    context = spark.sparkContext
+    total = 0
+    for path in paths:
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(context._jsc.hadoopConfiguration())
+        total += files.getContentSummary(place).getLength()
+    wanted = shuffle_partitions_for(total, context.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
+
+
 def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
     """Initial shuffle partitions: about ``target_bytes`` each, a whole number of
     waves over ``cores``. AQE merges the small ones afterwards."""
@@ -49,21 +65,6 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return waves * cores
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a file read that comes in fewer pieces than there are cores.
-
-    A Parquet file of one row group cannot be split, so one task would read and
-    transform it alone. Rows are dealt out by their position in the file: even,
-    the same on a retry, and without the sort a plain ``repartition`` needs for
-    that. Inputs of many files are left as they are: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    placed = df.select("*", F.col("_metadata.row_index").alias("_position"))
-    return placed.repartition(cores, "_position").drop("_position")
-
-
 @contextlib.contextmanager
 def text_partition_values(spark: SparkSession):
     """Resolve a read with partition values kept as text, whatever the session says."""
@@ -76,12 +77,21 @@ def text_partition_values(spark: SparkSession):
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables and stream checkpoints.
+    """A new folder for intermediate tables and stream checkpoints, deleted when
+    the driver ends.
 
     A cluster names the shared folder in ``spark.checkpoint.dir``. Only where it
-    is unset, as in local tests, a temporary folder of this machine is used.
+    is unset and the master is local, as in tests, a folder of this machine is used:
+    on a cluster executors and driver would not see each other's files.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
-    if not shared:
-        return tempfile.mkdtemp(prefix=f"meterloom-{purpose}-")
-    return f"{shared.rstrip('/')}/meterloom-{purpose}-{uuid.uuid4().hex}"
+    if shared:
+        folder = f"{shared.rstrip('/')}/meterloom-{purpose}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix=f"meterloom-{purpose}-")
+    else:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that driver and executors share")
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return folder

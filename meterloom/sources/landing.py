@@ -6,7 +6,7 @@ Parquet read over such files fails, whatever schema it is given. So the footers
 are read first, in Spark tasks; files with the same footer signature are read
 together by Spark's own reader, cast to the contract, and united.
 
-At most ``max_files`` paths are handled at a time, so what passes through the
+About ``max_files`` paths are handled at a time, so what passes through the
 driver is bounded; the files beyond it are handled in further rounds.
 """
 
@@ -43,16 +43,27 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         files = spark.createDataFrame([], LISTING)
-    return files.select("path", "length")
+    return files.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), "length")
 
 
 def path_pattern(keys: Sequence[str]) -> str:
     return "/".join(f"{key}=([^/]+)" for key in keys) + "/"
 
 
+def unescaped(text: Column) -> Column:
+    """``%3A`` and the like as the characters they stand for; ``+`` stays ``+``."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
+def plain_path(file_path: Column) -> Column:
+    """Spark's ``_metadata.file_path``, which is a URL, as listings have the path."""
+    return F.regexp_replace(unescaped(file_path), "^file:/+", "file:/")
+
+
 def path_key_columns(path: Column, keys: Sequence[str]) -> dict[str, Column]:
+    """Partition values of a plain path; writers escape some characters in them."""
     pattern = path_pattern(keys)
-    return {key: F.regexp_extract(path, pattern, n + 1) for n, key in enumerate(keys)}
+    return {key: unescaped(F.regexp_extract(path, pattern, n + 1)) for n, key in enumerate(keys)}
 
 
 def split_by_path(files: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -65,17 +76,28 @@ def footers(files: DataFrame) -> DataFrame:
     """Per file: its schema signature and column names, or why it is unreadable.
 
     The function sent to the tasks holds all it needs, so executors do not have
-    to have this package installed.
+    to have this package installed. Object stores are reached with the end point
+    and keys of the session's ``fs.s3a`` settings.
     """
+    hadoop = files.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    s3 = {
+        "endpoint_override": hadoop.get("fs.s3a.endpoint"),
+        "access_key": hadoop.get("fs.s3a.access.key"),
+        "secret_key": hadoop.get("fs.s3a.secret.key"),
+        "region": hadoop.get("fs.s3a.endpoint.region"),
+    }
+    s3 = {key: value for key, value in s3.items() if value}
+    if hadoop.get("fs.s3a.connection.ssl.enabled") == "false":
+        s3["scheme"] = "http"
 
     def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         def locate(path):
-            for scheme in ("s3a:", "s3n:"):
+            for scheme in ("s3a://", "s3n://", "s3://"):
                 if path.startswith(scheme):
-                    path = "s3:" + path[len(scheme):]
+                    return fs.S3FileSystem(**s3), path[len(scheme):]
             if path.startswith("file:"):
                 return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
             if "://" not in path:
@@ -151,7 +173,7 @@ def _read_alike(
     reader = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
     raw = reader.parquet(*paths)
     path = F.col("_path")
-    carried = raw.select("*", F.col("_metadata.file_path").alias("_path"))
+    carried = raw.select("*", plain_path(F.col("_metadata.file_path")).alias("_path"))
     keys = path_key_columns(path, dataset.path_keys)
     contract = {name: kind for name, kind in dataset.columns.items() if name not in keys}
     kept = carried.drop(*keys)
@@ -161,22 +183,28 @@ def _read_alike(
 
 def read_landing(
     spark: SparkSession, files: DataFrame, dataset: Dataset, ingested_at: str, run_id: str
-) -> DataFrame | None:
-    """One bounded round of landing files as a single contract-typed DataFrame.
+) -> tuple[DataFrame | None, DataFrame]:
+    """One bounded round of landing files as a single contract-typed DataFrame,
+    and the report of the files that drift.
 
     Values in the path replace columns of the same name in the file. A file that
     cannot be read fails the round, and the error names all such files.
     """
     groups = footers(files).groupBy("signature").agg(
-        F.collect_list("path").alias("paths"), F.collect_list("error").alias("errors")
+        F.collect_list("path").alias("paths"),
+        F.collect_list("error").alias("errors"),
+        F.first("columns").alias("columns"),
     ).collect()
     errors = [error for group in groups for error in group["errors"]]
     if errors:
         bad = [p for group in groups if group["signature"] is None for p in group["paths"]]
         listing = "\n".join(f"  {path}: {error}" for path, error in zip(bad, errors))
         raise RuntimeError(f"{len(bad)} landing file(s) cannot be read:\n{listing}")
+    alike = [(path, group["columns"], None) for group in groups for path in group["paths"]]
+    seen = spark.createDataFrame(alike, "path string, columns array<string>, error string")
+    in_file = [name for name in dataset.columns if name not in dataset.path_keys]
+    drift = drift_report(seen, in_file)
     if not groups:
-        return None
-    return unite(
-        [_read_alike(spark, g["paths"], dataset, ingested_at, run_id) for g in groups]
-    )
+        return None, drift
+    rows = [_read_alike(spark, g["paths"], dataset, ingested_at, run_id) for g in groups]
+    return unite(rows), drift

@@ -7,15 +7,13 @@ replaced (see ``append_runs``), nothing is doubled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.sources.tables import scan
-
-# Beyond this many new ids they are joined instead of being named one by one.
-MAX_NAMED_IDS = 1_000
+from meterloom.sources.tables import drop, scan
 
 
 class Ledger:
@@ -43,6 +41,15 @@ class Ledger:
         """Set the ledger to these ids; they must come from another table."""
         self._entries(ids).write.mode("overwrite").parquet(self.path)
 
+    def rename(self, old: Sequence[str], new: str) -> None:
+        """Put one id in the place of several, whatever else the entries hold."""
+        table = scan(self.spark, self.path)
+        renamed = F.when(F.col(self.id_column).isin(list(old)), F.lit(new)).otherwise(F.col(self.id_column))
+        aside = f"{self.path}-{uuid.uuid4().hex}"
+        table.withColumn(self.id_column, renamed).write.parquet(aside)
+        self.spark.read.schema(table.schema).parquet(aside).write.mode("overwrite").parquet(self.path)
+        drop(self.spark, aside)
+
 
 def only_new(df: DataFrame, processed: DataFrame, id_column: str) -> DataFrame:
     """Rows whose id is set and not processed yet.
@@ -57,7 +64,6 @@ def new_ids(upstream: DataFrame, processed: DataFrame, id_column: str) -> DataFr
     return only_new(upstream.select(id_column).distinct(), processed, id_column)
 
 
-def few_ids(ids: DataFrame, id_column: str, limit: int = MAX_NAMED_IDS) -> list[str] | None:
-    """The ids as a list, or None when there are more than ``limit``."""
-    rows = ids.limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(row[id_column] for row in rows)
+def id_list(ids: DataFrame, id_column: str) -> list[str]:
+    """The ids on the driver: one short string per run, never per row or file."""
+    return sorted(row[id_column] for row in ids.select(id_column).distinct().collect())

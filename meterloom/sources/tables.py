@@ -42,22 +42,35 @@ def scan(
         return None if empty is None else spark.createDataFrame([], empty)
 
 
-def scan_runs(spark: SparkSession, path: str, run_ids: Sequence[str]) -> DataFrame | None:
-    """Only the folders of the given runs: the rest of the table is not even
-    listed, and extra columns are merged over these runs' footers alone.
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system has this path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
-    A run without rows has no folder; then the table is scanned and filtered.
-    """
-    folders = [f"{path}/{RUN_ID}={check_run_id(run_id)}" for run_id in run_ids]
-    try:
-        with text_partition_values(spark):
-            reader = spark.read.option("basePath", path).option("mergeSchema", "true")
-            return reader.parquet(*folders)
-    except AnalysisException as error:
-        if error.getCondition() not in MISSING:
-            raise
-    table = scan(spark, path, merge_schema=True)
-    return None if table is None else table.where(F.col(RUN_ID).isin(list(run_ids)))
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table or a folder of one, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def scan_folders(
+    spark: SparkSession, path: str, column: str, values: Sequence[str]
+) -> DataFrame | None:
+    """Only the folders of the given values of the first partition column: the
+    rest of the table is not even listed, and extra columns are merged over these
+    footers alone. A value without rows has no folder; None if none has."""
+    folders = [f"{path}/{column}={check_run_id(value)}" for value in values]
+    folders = [folder for folder in folders if exists(spark, folder)]
+    if not folders:
+        return None
+    with text_partition_values(spark):
+        reader = spark.read.option("basePath", path).option("mergeSchema", "true")
+        return reader.parquet(*folders)
+
+
+def scan_runs(spark: SparkSession, path: str, run_ids: Sequence[str]) -> DataFrame | None:
+    return scan_folders(spark, path, RUN_ID, run_ids)
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:

@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from meterloom.plans.lake import Lake, land_files
 from meterloom.presets import Dataset
 from meterloom.sources.landing import LISTING, MAX_FILES
-
-
-def stream_id(lake: Lake, checkpoint: str) -> str:
-    """The id the query keeps over restarts, from its checkpoint."""
-    line = lake.spark.read.text(f"{checkpoint}/metadata").first()
-    return json.loads(line["value"])["id"]
+from meterloom.streaming.batches import start_batches
 
 
 def start_ingestion(
@@ -42,10 +35,7 @@ def start_ingestion(
         .select("path")
     )
 
-    def land(batch: DataFrame, number: int) -> None:
-        here = Lake(batch.sparkSession, lake.root)
-        run_id = f"{stream_id(here, checkpoint)}-{number:08d}"
-        land_files(here, batch, dataset, run_id)
+    def land(batch: DataFrame, name: str) -> None:
+        land_files(Lake(batch.sparkSession, lake.root), batch, dataset, name)
 
-    writer = files.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return start_batches(files, checkpoint, land, available_now)

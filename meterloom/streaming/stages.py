@@ -1,22 +1,31 @@
-"""Stages and daily summaries over unbounded readings."""
+"""Stages and daily reports over unbounded readings.
+
+Stages without state run on the stream itself. Whatever looks at more than one row
+(deduplication, daily reports) works in micro-batches against the table written so far:
+no event is too late, no row without a readable time is left out, nothing is held in a state store, and
+files may come in any order.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterloom import presets as P
-from meterloom.functions import is_critical, ratio, round_half_even
-from meterloom.functions.conditions import FLAG
-from meterloom.operators import cleaning, faults, kpis, quality, rollups
-from meterloom.operators.faults import status_is
+from meterloom.operators import cleaning, faults, kpis, quality
 from meterloom.presets import Dataset
 from meterloom.sources import tables
+from meterloom.streaming.batches import BATCH, start_batches
 
-EVENT_TIME = "_event_time"
+#: A batch is one folder: its days are found by the statistics of its files.
+LAYOUT = (BATCH,)
+#: Folder column of reports: the first characters of ``dt``.
+PERIOD = "_period"
+DAY, MONTH = 10, 7
+Report = Callable[[DataFrame], DataFrame]
 
 
 def graded(readings: DataFrame, dataset: Dataset) -> DataFrame:
@@ -27,107 +36,6 @@ def graded(readings: DataFrame, dataset: Dataset) -> DataFrame:
     return kpis.utility_kpis(rows)
 
 
-def with_event_time(df: DataFrame, delay: str) -> DataFrame:
-    """Watermarks need a zoned timestamp. Readings are naive UTC, and are read as
-    such in any session zone, so days begin where they should."""
-    instant = F.concat(F.col("timestamp").cast("string"), F.lit("Z")).cast("timestamp")
-    return df.withColumn(EVENT_TIME, instant).withWatermark(EVENT_TIME, delay)
-
-
-def deduplicated(df: DataFrame, dataset: Dataset, delay: str) -> DataFrame:
-    """First arrival per key within the watermark; state is one key per reading.
-
-    A reading without a readable time is outside every watermark and passes.
-    """
-    rows = cleaning.normalise(df, dataset)
-    timed = with_event_time(rows.where(F.col("timestamp").isNotNull()), delay)
-    first = timed.dropDuplicatesWithinWatermark(list(dataset.dedup_keys)).drop(EVENT_TIME)
-    return first.unionByName(rows.where(F.col("timestamp").isNull()))
-
-
-def hvac_daily_summary(enriched: DataFrame, delay: str) -> DataFrame:
-    """The building/day summary over a stream, emitted once a day has closed.
-
-    Two windowed aggregates in a row. The first is per unit, which keeps a hot
-    building spread over its units and makes the count of units exact: a stream
-    has no distinct aggregate, but after it every row is one unit.
-    """
-    rows = with_event_time(enriched, delay) if EVENT_TIME not in enriched.columns else enriched
-    reliable = ~is_critical()
-    scale = F.lit(1e6)
-    per_unit = rows.groupBy(
-        F.window(EVENT_TIME, "1 day").alias("day"), "building_id", "dt", "equipment_id"
-    ).agg(
-        F.count("equipment_id").alias("readings"),
-        *(F.count_if(F.col(FLAG) == level).alias(level) for level in ("clean", "warning", "critical")),
-        F.count_if(F.col("overheating_flag")).alias("overheating"),
-        F.count_if(F.col("coolant_leak_flag")).alias("leak"),
-        F.count_if(F.col("operational_fault_flag")).alias("fault"),
-        F.sum(F.when(reliable, F.rint(F.col("temp_differential") * scale))).alias("differential"),
-        F.count(F.when(reliable, F.col("temp_differential"))).alias("differentials"),
-        F.count_if(reliable & status_is("operational")).alias("operational"),
-        F.count_if(
-            reliable & F.coalesce(F.col("filter_health_status") == P.FILTER_LABELS[-1], F.lit(False))
-        ).alias("replace_now"),
-        F.count_if(reliable).alias("reliable_rows"),
-    )
-    per_day = per_unit.groupBy(
-        F.window(F.window_time("day"), "1 day").alias("day"), "building_id", "dt"
-    ).agg(
-        F.count("equipment_id").alias("equipment_count"),
-        F.sum("readings").alias("total_readings"),
-        F.sum("clean").alias("clean_readings"),
-        F.sum("warning").alias("warning_readings"),
-        F.sum("critical").alias("critical_readings"),
-        F.sum("overheating").alias("overheating_events"),
-        F.sum("leak").alias("coolant_leak_events"),
-        F.sum("fault").alias("operational_fault_events"),
-        (F.sum("differential") / scale).alias("_differential"),
-        F.sum("differentials").alias("_differentials"),
-        F.sum("replace_now").alias("_replace_now"),
-        F.sum("operational").alias("_operational"),
-        F.sum("reliable_rows").alias("_reliable_rows"),
-    )
-    has_reliable = F.col("_reliable_rows") > 0
-    mean = F.try_divide("_differential", "_differentials")
-    uptime = ratio(F.col("_operational"), F.col("total_readings")) * 100
-    return per_day.select(
-        "building_id",
-        "dt",
-        "equipment_count",
-        "total_readings",
-        "clean_readings",
-        "warning_readings",
-        "critical_readings",
-        "overheating_events",
-        "coolant_leak_events",
-        "operational_fault_events",
-        round_half_even(mean, 1).alias("avg_temp_differential"),
-        F.when(has_reliable, F.col("_replace_now")).alias("filter_replace_now_count"),
-        F.when(has_reliable, round_half_even(uptime, 1)).alias("uptime_pct"),
-    )
-
-
-def _by_event_day(
-    enriched: DataFrame, delay: str, report: Callable[..., DataFrame], keys: Sequence[str]
-) -> DataFrame:
-    """A batch report over a stream: the event's day joins the keys, so that groups
-    close, and are emitted, once the watermark has passed their day."""
-    rows = with_event_time(enriched, delay) if EVENT_TIME not in enriched.columns else enriched
-    days = rows.withColumn("_day", F.window(EVENT_TIME, "1 day"))
-    return report(days, keys=(*keys, "_day")).drop("_day")
-
-
-def utility_daily_summary(enriched: DataFrame, delay: str) -> DataFrame:
-    keys = rollups.BUILDING_DAY_TYPE
-    return _by_event_day(enriched, delay, rollups.utility_daily_summary, keys)
-
-
-def equipment_daily(faulty: DataFrame, delay: str) -> DataFrame:
-    keys = rollups.BUILDING_UNIT_DAY
-    return _by_event_day(faulty, delay, rollups.equipment_daily, keys)
-
-
 def start_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream's rows to a Parquet table, each exactly once."""
     writer = df.writeStream.format("parquet").outputMode("append")
@@ -139,22 +47,77 @@ def start_append(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _add(batch: DataFrame, name: str, path: str) -> DataFrame | None:
+    """Write a micro-batch to folders of its own and read it back."""
+    tables.append_runs(batch.withColumn(BATCH, F.lit(name)), path, LAYOUT)
+    return tables.scan_folders(batch.sparkSession, path, BATCH, [name])
+
+
 def start_grading(
     readings: DataFrame, dataset: Dataset, root: str, checkpoint: str
 ) -> StreamingQuery:
     """Grade a stream into ``validated`` and copy critical rows to ``quarantine``.
 
-    Both writes of a micro-batch go to folders of its number, so a replay
-    replaces them. The quarantine reads the written table, not the stream again.
+    Both writes of a micro-batch go to folders of its name, so a replay replaces
+    them; the readings keep their run ids. The quarantine reads the written
+    table, not the stream again.
+    """
+
+    def write(batch: DataFrame, name: str) -> None:
+        written = _add(batch, name, f"{root}/validated")
+        if written is not None:
+            tables.append_runs(quality.quarantined(written), f"{root}/quarantine", LAYOUT)
+
+    return start_batches(graded(readings, dataset), checkpoint, write)
+
+
+def start_deduplication(
+    readings: DataFrame, dataset: Dataset, root: str, checkpoint: str
+) -> StreamingQuery:
+    """Clean a stream into ``root``: one row per key over all batches.
+
+    A key is looked up in the table, so its first row may be any time ago; rows
+    of a batch that is being replayed do not count as known.
     """
-    def write(batch: DataFrame, number: int) -> None:
-        label = f"batch-{number:08d}"
-        rows = batch.withColumn(cleaning.RUN_ID, F.lit(label))
-        tables.append_runs(rows, f"{root}/validated")
-        written = tables.scan_runs(batch.sparkSession, f"{root}/validated", [label])
-        tables.append_runs(quality.quarantined(written), f"{root}/quarantine")
 
-    stream = graded(readings, dataset)
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    def write(batch: DataFrame, name: str) -> None:
+        table = tables.scan(batch.sparkSession, root)
+        known = None if table is None else table.where(F.col(BATCH) != name)
+        _add(cleaning.clean(batch, dataset, known=known), name, root)
+
+    return start_batches(readings, checkpoint, write)
+
+
+def start_reports(
+    readings: DataFrame,
+    dataset: Dataset,
+    root: str,
+    checkpoint: str,
+    reports: Mapping[str, Report],
+    period: int = DAY,
+) -> StreamingQuery:
+    """Grade a stream into ``silver`` and keep daily reports of it up to date.
+
+    Every micro-batch is added to ``silver``; the periods it touches are read
+    whole, reported by the batch operators and replaced, so the reports are those
+    of a batch run over all rows seen, whatever order they came in. A period is a
+    folder of a report: a day, or a month where days hold few rows.
+    """
 
+    def write(batch: DataFrame, name: str) -> None:
+        new = _add(batch, name, f"{root}/silver")
+        if new is None:
+            return
+        of = F.substring("dt", 1, period)
+        touched = new.select(of.alias(PERIOD)).distinct()
+        every = tables.scan(batch.sparkSession, f"{root}/silver").withColumn(PERIOD, of)
+        rows = every.alias("every").join(
+            touched.alias("touched"),
+            F.col(f"every.{PERIOD}").eqNullSafe(F.col(f"touched.{PERIOD}")),
+            "left_semi",
+        )
+        for report, build in reports.items():
+            made = build(rows.drop(PERIOD, BATCH)).withColumn(PERIOD, of)
+            tables.overwrite(made, f"{root}/{report}", [PERIOD], touched_only=True)
+
+    return start_batches(graded(readings, dataset), checkpoint, write)

@@ -2,8 +2,16 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from meterloom.session import CHECKPOINT_DIR, INFERENCE, scratch_folder, shuffle_partitions_for
-from meterloom.session import spread, text_partition_values
+import pytest
+
+from meterloom.session import (
+    CHECKPOINT_DIR,
+    INFERENCE,
+    scratch_folder,
+    shuffle_partitions_for,
+    size_shuffles,
+    text_partition_values,
+)
 
 
 def test_shuffle_partitions_fill_whole_waves():
@@ -12,12 +20,26 @@ def test_shuffle_partitions_fill_whole_waves():
     assert shuffle_partitions_for(100 << 40, 4_000) >= (100 << 40) // (128 << 20)
 
 
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.range(10).write.parquet(str(tmp_path / "t"))
+    try:
+        assert size_shuffles(spark, str(tmp_path / "t")) == spark.sparkContext.defaultParallelism
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_scratch_is_in_the_shared_folder(spark, tmp_path):
     """The setting is fixed when a cluster starts, so a stand-in carries it here."""
-    cluster = SimpleNamespace(conf={CHECKPOINT_DIR: f"{tmp_path}/"})
+    context = spark.sparkContext
+    cluster = SimpleNamespace(conf={CHECKPOINT_DIR: f"{tmp_path}/"}, sparkContext=context)
     made = {scratch_folder(cluster, "x") for _ in range(2)}
     assert len(made) == 2 and all(path.startswith(f"{tmp_path}/meterloom-x-") for path in made)
     assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
+    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        scratch_folder(bare, "x")
 
 
 def test_partition_values_stay_text_whatever_the_session(spark, tmp_path):
@@ -30,14 +52,3 @@ def test_partition_values_stay_text_whatever_the_session(spark, tmp_path):
     finally:
         spark.conf.set(INFERENCE, "false")
     assert table.first()["b"] == "007"
-
-
-def test_spread_only_what_cannot_be_split(spark, tmp_path):
-    spark.range(1_000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    spark.range(1_000).repartition(16).write.parquet(str(tmp_path / "many"))
-    one, many = spark.read.parquet(str(tmp_path / "one")), spark.read.parquet(str(tmp_path / "many"))
-    dealt = spread(one)
-    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert dealt.columns == ["id"] and dealt.distinct().count() == 1_000
-    if many.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        assert spread(many) is many

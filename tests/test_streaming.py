@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import compare
+from pyspark.sql import functions as F
 from readings import HVAC, frame
 
 from meterloom import presets as P
@@ -22,11 +23,11 @@ def changes():
             }
 
 
-def raw_stream(spark, tmp_path, pieces=3):
-    rows = list(changes())
+def raw_stream(spark, tmp_path, pieces=4):
+    rows = list(changes()) + [{"timestamp": "bad", "equipment_id": "a", "dt": "2026-01-06"}]
     batch = frame(spark, HVAC, *rows, clean=False)
-    for n in range(pieces):  # one file a day, in order
-        part = frame(spark, HVAC, *rows[n * 40:(n + 1) * 40], clean=False)
+    for n in range(pieces):  # every file holds rows of all days, latest first
+        part = frame(spark, HVAC, *rows[::-1][n::pieces], clean=False)
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     reader = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1)
     return batch, reader.parquet(str(tmp_path / "in"))
@@ -56,30 +57,48 @@ def test_stateless_stages_and_alarms_equal_their_batch_form(spark, tmp_path):
     assert same(run(alarms, tmp_path, "alarms"), rollups.alarm_log(expected))
 
 
-def test_closed_days_equal_the_batch_summary(spark, tmp_path):
+REPORTS = {"daily": rollups.hvac_daily_summary, "units": rollups.equipment_daily}
+
+
+def test_reports_equal_the_batch_reports(spark, tmp_path):
     batch, stream = raw_stream(spark, tmp_path)
-    found = run(stages.hvac_daily_summary(stages.graded(stream, P.HVAC), "1 hour"), tmp_path, "daily")
-    expected = rollups.hvac_daily_summary(batch_form(batch)).where("dt < '2026-01-07'")
-    assert expected.count() == 6
-    assert same(found, expected)
+    for period in (stages.DAY, stages.MONTH):
+        root = str(tmp_path / f"out-{period}")
+        stages.start_reports(stream, P.HVAC, root, f"{root}/cp", REPORTS, period).awaitTermination()
+        for name, report in REPORTS.items():
+            expected = report(batch_form(batch))
+            assert expected.where("dt = '2026-01-07'").count() > 0
+            assert same(tables.scan(spark, f"{root}/{name}").drop(stages.PERIOD), expected)
 
 
-def test_duplicates_within_the_watermark(spark, tmp_path):
+def test_deduplication_over_all_batches(spark, tmp_path):
     batch, stream = raw_stream(spark, tmp_path)
-    again = stream.union(stream)
-    kept = run(stages.deduplicated(again, P.HVAC, "1 hour").drop(stages.EVENT_TIME), tmp_path, "dedup")
+    root = str(tmp_path / "clean")
+    stages.start_deduplication(stream.union(stream), P.HVAC, root, f"{root}-cp").awaitTermination()
     keys = list(P.HVAC.dedup_keys)
-    clean = cleaning.normalise(batch, P.HVAC)
-    assert same(kept.select(keys), clean.select(keys).distinct())
+    kept = tables.scan(spark, root).select(keys)
+    assert kept.where("timestamp is null").count() == 1
+    assert same(kept, cleaning.normalise(batch, P.HVAC).select(keys).distinct())
 
 
-def test_unreadable_times_pass_the_deduplication(spark, tmp_path):
-    rows = [{"timestamp": "bad", "equipment_id": "a"}, {"timestamp": "bad", "equipment_id": "a"}, {}, {}]
-    batch = frame(spark, HVAC, *rows, clean=False)
-    batch.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
-    kept = run(stages.deduplicated(stream, P.HVAC, "1 hour"), tmp_path, "dedup")
-    assert sorted(map(str, (r["timestamp"] for r in kept.collect()))) == ["2026-01-05 10:00:00", "None", "None"]
+def test_a_new_checkpoint_keeps_what_an_old_one_wrote(spark, tmp_path):
+    batch, stream = raw_stream(spark, tmp_path)
+    stream = stream.withColumn(cleaning.RUN_ID, F.lit("run-7"))
+    root = str(tmp_path / "out")
+    for checkpoint in ("one", "two"):
+        stages.start_grading(stream, P.HVAC, root, str(tmp_path / checkpoint)).awaitTermination()
+    written = tables.scan(spark, f"{root}/validated")
+    assert written.count() == 2 * batch.count()
+    assert [r[0] for r in written.select(cleaning.RUN_ID).distinct().collect()] == ["run-7"]
+
+
+def test_queries_read_tables_stored_as_folders(spark, small, tmp_path):
+    from meterloom.plans.catalog import QUERIES
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for name in ("stream_hvac_daily_summary", "stream_hvac_graded"):
+        assert same(QUERIES[name](spark, str(tmp_path)), QUERIES[name](spark, small))
 
 
 def test_graded_stream_with_quarantine(spark, tmp_path):
@@ -90,11 +109,3 @@ def test_graded_stream_with_quarantine(spark, tmp_path):
     critical = expected.where("data_quality_flag = 'critical'").count()
     assert tables.scan(spark, f"{root}/validated").count() == expected.count()
     assert tables.scan(spark, f"{root}/quarantine").count() == critical > 0
-
-
-def test_other_reports_over_a_stream(spark, tmp_path):
-    batch, stream = raw_stream(spark, tmp_path)
-    found = run(stages.equipment_daily(stages.graded(stream, P.HVAC), "1 hour"), tmp_path, "units")
-    expected = rollups.equipment_daily(batch_form(batch)).where("dt < '2026-01-07'")
-    assert expected.count() > 0
-    assert same(found, expected)
