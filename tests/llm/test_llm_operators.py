@@ -10,6 +10,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -319,3 +321,24 @@ def test_main_text_of_bare_divisions():
         f"<p>Paragraph {i}, of the post; and so on.</p>" for i in range(4)
     ) + "<p>Short</p></div><div class='sidebar'><p>Not this, nor that.</p></div></body>"
     assert pages.main_text(page).split("\n") == ["Title", *[f"Paragraph {i}, of the post; and so on." for i in range(4)], "Short"]
+
+
+AWKWARD = [*"aAbZ .,'\n\t_-%é ßÿµ°²½İΣςſ你🙂1２<|>", "\x1c", " ", "  ", "<|endoftext|>", "<|EndOfText|>", "'S", "'ll", " ."]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(AWKWARD), max_size=14).map("".join))
+def test_units_and_words_tokenize_as_the_whole(text):
+    by_bytes, by_words = tokens.tokenizer(BYTES), tokens.WordIds(WORDS)
+    ids = [i for unit in tokens.units(text) for i in by_bytes.encode(unit, add_special_tokens=False).ids]
+    assert ids == by_bytes.encode(text, add_special_tokens=False).ids
+    whole = tokens.tokenizer(WORDS).encode(text, add_special_tokens=False).ids
+    assert by_words.encode([text])[0].tolist() == whole
+
+
+def test_remembered_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    ids, whole = tokens.WordIds(WORDS), Tokenizer.from_file(WORDS)
+    for text in ("one two three", "four five six one", "seven one two", "w" * 100 + " one"):
+        assert ids.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert "w" * 100 not in ids.young and len(ids.old) <= 5
