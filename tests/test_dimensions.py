@@ -81,3 +81,15 @@ def test_history_grows_and_a_failed_append_only_warns(spark, tmp_path):
     assert any("could not append" in str(w.message) for w in caught)
     with pytest.raises(ValueError):
         monitoring.run_record(spark, "r", "manual", 1, "now", {"gold": "success"})
+
+
+def test_dimensions_do_not_deduplicate_first(spark, small):
+    """One shuffle for a distinct, no window; the star join scans the alarms' table once."""
+    from meterloom.plans.catalog import QUERIES
+
+    def plan(name):
+        return QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+
+    for name in ("dim_meter", "dim_equipment", "dim_building"):
+        assert "Window" not in plan(name)
+    assert plan("alarm_star").count("] parquet") == 1
