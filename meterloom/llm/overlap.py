@@ -4,8 +4,9 @@ The incidence matrix has a row per distinct shingle set and a column per shingle
 product with itself counts the overlaps of all pairs. Two bounds keep almost all of it
 from being computed, without losing a link:
 
-* Columns are ordered from rare to common. A pair over the threshold shares one of the
-  first ``size - least overlap + 1`` columns of both rows; the rest stays out.
+* Columns are ordered from rare to common. A pair over the threshold shares ``k`` of the
+  first ``size - least overlap + k`` columns of both rows; the rest stays out. ``k`` is a
+  share of the size, so rows that meet others in fewer columns leave too.
 * A pair whose sizes differ by more than the threshold allows is left out.
 
 Only columns with two rows or more make blocks. Every block first multiplies its rows
@@ -40,6 +41,10 @@ from meterloom.llm.common import fresh, kept, mapped
 COMMON = 1 << 18
 #: A column in fewer documents is never named as common.
 COMMON_FROM = 8
+#: One in so many columns of a set is a spare one, beyond the first that a pair must share.
+SPARE = 20
+#: Rounds in which rows with too few shared columns leave.
+PEELS = 2
 #: Hubs that a block tries before its remaining pairs are listed.
 HUBS = 3
 
@@ -56,34 +61,19 @@ def set_hash(values: np.ndarray) -> tuple[int, int]:
     return a - (1 << 64) * (a >> 63), b - (1 << 64) * (b >> 63)
 
 
-def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, size and hash (a, b) of each document's shingle set."""
-
-    def sign(batches: Rows) -> Rows:
-        for batch in batches:
-            sizes, hashes = [], []
-            for body in batch.column(1):
-                values = shingles(body.as_py(), n)
-                sizes.append(len(values))
-                hashes.append(set_hash(values))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array([h[0] for h in hashes], pa.int64()), pa.array([h[1] for h in hashes], pa.int64())],
-                ["doc_id", "size", "a", "b"],
-            )
-
-    return mapped(docs, sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, size bigint, a bigint, b bigint")
-
-
 def common_columns(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The COMMON most frequent shingles, sorted, and the documents of each.
+    """The COMMON most frequent shingles, sorted, and about how many documents hold each.
 
-    Counts cover all documents; a task sums its batch before anything is shuffled.
+    Lossy counting over all documents: of every batch a task sends the shingles
+    that two or more of its documents hold, with their counts, and these are summed. What is never
+    twice in a batch of thousands of documents is rare, and most shingles are.
     """
 
     def count(batches: Rows) -> Rows:
         for batch in batches:
             values = [shingles(body.as_py(), n) for body in batch.column(1)]
             column, seen = np.unique(np.concatenate(values) if values else np.zeros(0, np.uint64), return_counts=True)
+            column, seen = column[seen > 1], seen[seen > 1]
             yield pa.RecordBatch.from_arrays([flat([column]), pa.array(seen.astype(np.int64))], ["shingle", "seen"])
 
     counts = mapped(docs, count, "shingle bigint, seen bigint").groupBy("shingle").agg(F.sum("seen").alias("seen"))
@@ -98,32 +88,48 @@ def common_columns(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return column[order], top.column("seen").to_numpy()[order]
 
 
-def prefixes(docs: DataFrame, n: int, least: Callable[[int], int], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, size, hash and the first columns of each row in the order of rarity."""
+def first_columns(values: np.ndarray, length: int, column: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The first ``length`` of sorted ``values`` in the order of rarity, then of hash."""
+    if not len(column) or not len(values):
+        return values[:length]
+    at = np.minimum(np.searchsorted(column, values), len(column) - 1)
+    rank = np.where(column[at] == values, seen[at], 0)
+    rare = values[rank == 0]
+    return rare[:length] if len(rare) >= length else values[np.argsort(rank, kind="stable")[:length]]
+
+
+def marked_rows(docs: DataFrame, n: int, least: Callable[[int], int], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, size, hash (a, b) and first columns of each document's shingle set."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
-    def cut(batches: Rows) -> Rows:
+    def mark(batches: Rows) -> Rows:
         column, seen = shared.value
         for batch in batches:
             sizes, hashes, first = [], [], []
             for body in batch.column(1):
                 values = shingles(body.as_py(), n)
-                length = len(values) - least(len(values)) + 1 if len(values) else 0
-                rank = np.zeros(len(values), np.int64)
-                if len(column) and len(values):
-                    at = np.minimum(np.searchsorted(column, values), len(column) - 1)
-                    rank = np.where(column[at] == values, seen[at], 0)
-                first.append(values[np.lexsort((values, rank))[:length]])
+                length = len(values) - least(len(values)) + spare(len(values)) if len(values) else 0
+                first.append(first_columns(values, length, column, seen))
                 sizes.append(len(values))
-                hashes.append(set_hash(values)[0])
+                hashes.append(set_hash(values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), lists(first)],
-                ["doc_id", "size", "a", "first"],
+                [
+                    batch.column(0),
+                    pa.array(sizes, pa.int64()),
+                    pa.array([h[0] for h in hashes], pa.int64()),
+                    pa.array([h[1] for h in hashes], pa.int64()),
+                    lists(first),
+                ],
+                ["doc_id", "size", "a", "b", "first"],
             )
 
-    return mapped(docs, 
-        cut, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, size bigint, a bigint, first array<bigint>"
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return mapped(docs, mark, f"doc_id {kind}, size bigint, a bigint, b bigint, first array<bigint>")
+
+
+def spare(size: int) -> int:
+    """Columns that a set of this size and a linked one of no smaller size share at the front."""
+    return max(1, size // SPARE)
 
 
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -132,7 +138,7 @@ def full_sets(docs: DataFrame, n: int) -> DataFrame:
             values = [shingles(body.as_py(), n).tobytes() for body in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["node", "row"])
 
-    return mapped(docs, whole, f"node {docs.schema['doc_id'].dataType.simpleString()}, row binary").distinct()
+    return mapped(docs, whole, f"node {docs.schema['doc_id'].dataType.simpleString()}, row binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -195,25 +201,32 @@ def near_components(
         return -(-percent * size // 100)
 
     docs = docs.select(F.col(doc_id).alias("doc_id"), _body(text).alias("body"))
-    signed = kept(signatures(docs, n), "overlap-signed")
+    marked = kept(marked_rows(docs, n, least, common_columns(docs, n)), "overlap-marked")
+    signed = marked.select("doc_id", "size", "a", "b")
     rows = kept(
         signed.where((F.col("size") > 0) & F.col("doc_id").isNotNull())
         .groupBy("size", "a", "b")
         .agg(F.min("doc_id").alias("node")),
         "overlap-rows",
     )
-    common = common_columns(docs, n)
-    chosen = rows.select(F.col("node").alias("doc_id"), "size", "a")
-    first = prefixes(docs, n, least, common).join(chosen, ["doc_id", "size", "a"], "left_semi")
-    entries = kept(
-        first.select(F.explode("first").alias("shingle"), F.col("doc_id").alias("node"), "size"), "overlap-entries"
-    )
-    blocks = (
-        entries.groupBy("shingle")
-        .agg(F.count("*").alias("rows"), F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low < high")
+    chosen = rows.withColumnRenamed("node", "doc_id")
+    cells = marked.join(chosen, ["doc_id", "size", "a", "b"], "left_semi").select(
+        F.explode("first").alias("shingle"), F.col("doc_id").alias("node"), "size"
     )
-    cells = kept(entries.join(blocks.select("shingle"), "shingle"), "overlap-cells")
+    # The smallest linked set of a row has ``least`` of its size.
+    smallest = F.ceil(F.col("size") * percent / 100)
+    shared = F.greatest(F.lit(1), F.floor(smallest / SPARE))
+    for _ in range(PEELS):
+        blocks = (
+            cells.groupBy("shingle")
+            .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+            .where("low < high")
+            .select("shingle")
+        )
+        cells = kept(cells.join(blocks, "shingle", "left_semi"), "overlap-cells")
+        full = cells.groupBy("node", "size").agg(F.count("*").alias("met")).where(F.col("met") >= shared)
+        cells = cells.join(full.select("node", "size"), ["node", "size"], "left_semi").select("shingle", "node", "size")
+    cells = kept(cells, "overlap-cells")
     wanted = cells.select("node").distinct()
     sets = kept(full_sets(docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi"), n), "overlap-sets")
 
@@ -262,15 +275,15 @@ def near_components(
     split = open_cells.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = kept(open_cells.join(split.select("shingle"), "shingle"), "overlap-open")
     one, two = rest.alias("one"), rest.alias("two")
-    test(
-        one.join(
-            two,
-            (F.col("one.shingle") == F.col("two.shingle"))
-            & (F.col("one.node") < F.col("two.node"))
-            & (F.col("one.component") != F.col("two.component"))
-            & close(F.col("one.size"), F.col("two.size")),
-        ).select(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
-    )
+    met = one.join(
+        two,
+        (F.col("one.shingle") == F.col("two.shingle"))
+        & (F.col("one.node") < F.col("two.node"))
+        & (F.col("one.component") != F.col("two.component"))
+        & close(F.col("one.size"), F.col("two.size")),
+    ).groupBy(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
+    met = met.agg(F.count("*").alias("met"), F.min(F.least("one.size", "two.size")).alias("size"))
+    test(met.where(F.col("met") >= F.greatest(F.lit(1), F.floor(F.col("size") / SPARE))).select("x", "y"))
     named = rows.select("size", "a", "b", "node")
     if labels is not None:
         named = named.join(labels, "node", "left")
