@@ -6,7 +6,9 @@ from being computed, without losing a link:
 
 * Columns are ordered from rare to common. A pair over the threshold shares ``k`` of the
   first ``size - least overlap + k`` columns of both rows; the rest stays out. ``k`` is a
-  share of the size, so rows that meet others in fewer columns leave too.
+  share of the size, so rows that meet others in fewer columns leave too. Of the
+  row whose front ends first, every front column that the other lacks is a loss for certain,
+  which bounds a pair's overlap by the columns they share at the front.
 * A pair whose sizes differ by more than the threshold allows is left out.
 
 Only columns with two rows or more make blocks. Every block first multiplies its rows
@@ -41,12 +43,12 @@ from meterloom.llm.common import fresh, kept, mapped
 COMMON = 1 << 18
 #: A column in fewer documents is never named as common.
 COMMON_FROM = 8
-#: One in so many columns of a set is a spare one, beyond the first that a pair must share.
+#: One in so many columns of a set is a spare one, beyond those that a pair cannot avoid.
 SPARE = 20
 #: Rounds in which rows with too few shared columns leave.
 PEELS = 2
 #: Hubs that a block tries before its remaining pairs are listed.
-HUBS = 3
+HUBS = 4
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -200,6 +202,8 @@ def near_components(
         """Overlap below which no partner of any size can reach the threshold."""
         return -(-percent * size // 100)
 
+    if percent * SPARE < 100:
+        raise ValueError(f"percent must be at least {-(-100 // SPARE)}, not {percent}")
     docs = docs.select(F.col(doc_id).alias("doc_id"), _body(text).alias("body"))
     marked = kept(marked_rows(docs, n, least, common_columns(docs, n)), "overlap-marked")
     signed = marked.select("doc_id", "size", "a", "b")
@@ -282,8 +286,12 @@ def near_components(
         & (F.col("one.component") != F.col("two.component"))
         & close(F.col("one.size"), F.col("two.size")),
     ).groupBy(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
-    met = met.agg(F.count("*").alias("met"), F.min(F.least("one.size", "two.size")).alias("size"))
-    test(met.where(F.col("met") >= F.greatest(F.lit(1), F.floor(F.col("size") / SPARE))).select("x", "y"))
+    met = met.agg(F.count("*").alias("met"), F.min("one.size").alias("a"), F.min("two.size").alias("b"))
+    # Whichever front ends first: overlap <= size - (front - met), and front = size - inner.
+    inner = lambda size: F.ceil(size * percent / 100) - F.greatest(F.lit(1), F.floor(size / SPARE))
+    needed = F.ceil((F.col("a") + F.col("b")) * percent / (100 + percent))
+    reach = F.greatest(inner(F.col("a")), inner(F.col("b"))) + F.col("met")
+    test(met.where(reach >= needed).select("x", "y"))
     named = rows.select("size", "a", "b", "node")
     if labels is not None:
         named = named.join(labels, "node", "left")
