@@ -10,8 +10,9 @@ themselves as something else (menus, forms, notices, reader comments and the lik
 Pages are read one by one inside tasks; a page of any length is read in one pass.
 
 Defined cases: a null or empty page, or one without text, has an empty text; unclosed elements end
-with their parent or the page, an incomplete tag at the end of the page is dropped; repeated rows and ids are
-handled row by row; an empty table gives an empty result; other columns are ignored.
+with their parent or the page; a quote that does not follow "=" is an ordinary character, and a tag whose last
+value is not closed ends at the next ">"; a tag with no ">" after it is dropped with the rest of the page; repeated
+rows and ids are handled row by row; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,10 +61,17 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
+#: An attribute as HTML reads it: a quote opens a value only directly after "=".
+ATTRIBUTE = re.compile(
+    r"[ \t\n\f\r/]*+([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)"
+    r"(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(\"[^\"]*+\"|'[^']*+'|[^ \t\n\f\r\"'>][^ \t\n\f\r>]*+))?+"
+)
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)((?:" + re.sub(r"\((?!\?)", "(?:", ATTRIBUTE.pattern) + r")*+)[ \t\n\f\r/]*+>",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+#: What is left of a tag that :data:`TOKEN` does not match: it ends at the next bracket.
+BROKEN = re.compile(r"<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)([^>]*+)>", re.S)
 START = re.compile(r"<[a-zA-Z/!?]")
 PUNCTUATION = re.compile(r"[.,;:!?。，！？]")
 
@@ -155,7 +163,7 @@ def blocks(html: str) -> list[Block]:
             text(html[place:])
             break
         text(html[place : start.start()])
-        tag = TOKEN.match(html, start.start())
+        tag = TOKEN.match(html, start.start()) or BROKEN.match(html, start.start())
         if tag is None:
             if html.startswith("</", start.start()):
                 # An end tag without a name is dropped up to its bracket.

@@ -323,6 +323,22 @@ def test_main_text_of_bare_divisions():
     assert pages.main_text(page).split("\n") == ["Title", *[f"Paragraph {i}, of the post; and so on." for i in range(4)], "Short"]
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<p class="a"">Hello world.</p><p class="b">rest</p>', ["Hello world.", "rest"]),
+        ("<p data-x=it's>Hello</p><p>rest of the page</p>", ["Hello", "rest of the page"]),
+        ('<img alt="5" tall"><p>rest</p>', ["rest"]),
+        ('<p "a>b</p><p title="x>y" id=\'c>\'>d</p><p e=f/>g</p>', ["b", "d", "g"]),
+        ('<p>one</p><p class="two>three</p><p>four</p>', ["one", "three", "four"]),
+        ('<p>one</p><p title="x>y" class="two', ["one", 'y" class="two']),
+        ("<p>one</p><p two", ["one"]),
+    ],
+)
+def test_stray_quotes_lose_no_text(page, want):
+    assert [block.text for block in pages.blocks(page)] == want
+
+
 AWKWARD = [*"aAbZ .,'\n\t_-%é ßÿµ°²½İΣςſ你🙂1２<|>", "\x1c", " ", "  ", "<|endoftext|>", "<|EndOfText|>", "'S", "'ll", " ."]
 
 
