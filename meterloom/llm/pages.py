@@ -4,8 +4,10 @@ A page is cut into blocks of text, each with the path of block elements from the
 leaf. Text length, punctuation and link text are summed by path and divided by the path's blocks;
 the ratios are smoothed along the page, fused into one score, and the paths whose
 score passes a share of the page's deviation hold the content. The element around nearly all of
-their text is the article; its blocks stay, but for those under elements that name
-themselves as something else (menus, forms, notices, reader comments and the like).
+their text is the article; its blocks stay. Elements that name themselves as something else (menus,
+forms, notices, reader comments and the like) and hold no <article> or <main>, and on a page without these
+not most of what scores highly, are scored apart and
+lowered; they go unless they still pass.
 
 Pages are read one by one inside tasks; a page of any length is read in one pass.
 
@@ -38,19 +40,21 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup.
 RAW = frozenset("script style textarea title noscript template xmp iframe".split())
-#: Elements that never hold the article's text.
-OTHER = frozenset(
-    "aside button datalist dialog footer form head iframe input menu nav noscript option script select style svg "
-    "template textarea title".split()
-)
+#: Elements whose text a page does not show, or shows as a control.
+UNSEEN = frozenset("button datalist head iframe input noscript option script select style svg template textarea title".split())
+#: Elements that say they hold something else than the article.
+ASIDE = frozenset("aside dialog footer form menu nav".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
-#: Words of class and id that name something else than the article.
-NAMES = re.compile(
-    r"(ad|ads|adv|advert|advertisement|advertising|banner|breadcrumb|breadcrumbs|comment|comments|consent|cookie|"
-    r"cookies|disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|notices|pager|"
-    r"pagination|popup|promo|promotion|reactions|related|replies|respond|search|share|sharing|sidebar|signup|social|"
-    r"sponsor|sponsored|subscribe|toolbar|widget|widgets)"
+#: Names that say so as a whole id or class, alone or with each other ("ad", "cookie-notice", not "has-sidebar").
+NAMES = frozenset(
+    "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
+    "cookies disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices pager "
+    "pagination popup promo promotion reactions related replies respond search share sharing sidebar signup social "
+    "sponsor sponsored subscribe toolbar widget widgets".split()
 )
+#: Names that an article's own head may have.
+HEADS = frozenset("header masthead banner".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Start tags that end an open element of the same kind, looked for up to the given parents.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -79,17 +83,22 @@ PUNCTUATION = re.compile(r"[.,;:!?。，！？]")
 KERNEL = (1.0, 0.6, 0.15)
 #: Share of the deviation of the scores that a content path passes.
 PASS = 0.8
+#: What is left of a path's score under an element that names itself as something else.
+LOWERED = 0.05
 #: Share of the content paths' text that lies in the article's element.
 WITHIN = 0.9
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     name: str
     parent: Element | None
     path: str
-    other: bool
+    unseen: bool
+    named: bool
     block: bool
+    #: Whether an article or main element is inside.
+    holds: bool = False
     strong: int = 0
 
 
@@ -100,30 +109,45 @@ class Block:
     links: int = 0
     text: str = ""
 
+    @property
+    def aside(self) -> list[Element]:
+        """The elements around it that name themselves as something else and hold no article."""
+        return [e for e in _around(self.element) if e.named and not e.holds]
+
+    @property
+    def path(self) -> str:
+        """What its score goes by: text under such a name is apart from other text on the same path."""
+        return self.element.path + "!" * bool(self.aside)
+
 
-def _other(name: str, attributes: str, in_article: bool) -> bool:
-    if name in OTHER:
-        return True
-    if name == "header":
-        return not in_article
+def _around(element: Element | None) -> Iterator[Element]:
+    """The element and its parents."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is not shown, and whether it names itself as something else than the article."""
+    unseen, named = name in UNSEEN, name in ASIDE or (name == "header" and not in_article)
     if name in ("html", "body", "article", "main") or not attributes.strip():
-        return False
+        return unseen, named
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-        if key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if key == "role" and value in ROLES:
-            return True
-        if key in ("class", "id") and any(NAMES.fullmatch(word) for word in re.split(r"[\s_-]+", value)):
-            return True
-    return False
+        if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "")):
+            unseen = True
+        if (key == "aria-hidden" and value == "true") or (key == "role" and value in ROLES):
+            named = True
+        if key in ("class", "id") and name in BLOCKS and name not in HEADINGS:
+            for token in value.split():
+                words = {word for word in re.split("[_-]", token) if word}
+                named |= bool(words) and words <= NAMES and not (in_article and words <= HEADS)
+    return unseen, named
 
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks with text, in page order."""
-    root = Element("", None, "", False, True)
+    root = Element("", None, "", False, False, True)
     here, found = root, []
     block = Block(root)
 
@@ -199,12 +223,17 @@ def blocks(html: str) -> list[Block]:
         if name in VOID:
             continue
         in_article = "/article" in here.path or "/main" in here.path
-        other = here.other or _other(name, tag[3], in_article)
-        is_block = name in BLOCKS or (other and not here.other)
+        unseen, named = _marks(name, tag[3], in_article)
+        is_block = name in BLOCKS or (unseen and not here.unseen) or named
         if is_block and name not in BLOCKS:
             flush()
         path = f"{here.path}/{name}" if is_block else here.path
-        here = Element(name, here, path, other, is_block)
+        if name in ("article", "main"):
+            for around in _around(here):
+                if around.holds:
+                    break
+                around.holds = True
+        here = Element(name, here, path, here.unseen or unseen, named, is_block)
         if is_block:
             block = Block(here)
         if name in RAW:
@@ -212,7 +241,7 @@ def blocks(html: str) -> list[Block]:
             if end is None:
                 place = len(html)
             else:
-                if name not in OTHER:
+                if name not in UNSEEN:
                     text(html[place : end.start()])
                 flush()
                 here = here.parent or root
@@ -228,17 +257,18 @@ def _leaf(element: Element) -> Element:
     return element
 
 
-def path_scores(page: list[Block]) -> dict[str, float]:
+def path_scores(page: list[Block], lowered: float = LOWERED) -> dict[str, float]:
     """Per path the mean of its blocks' smoothed and fused ratios."""
+    paths = [block.path for block in page]
     sums: dict[str, list[float]] = {}
-    for block in page:
-        total = sums.setdefault(block.element.path, [0, 0, 0, 0])
+    for block, path in zip(page, paths, strict=True):
+        total = sums.setdefault(path, [0, 0, 0, 0])
         total[0] += 1
         total[1] += len(block.text)
         total[2] += len(PUNCTUATION.findall(block.text))
         total[3] += min(block.links, len(block.text))
-    lengths = [sums[b.element.path][1] / sums[b.element.path][0] for b in page]
-    points = [sums[b.element.path][2] / sums[b.element.path][0] for b in page]
+    lengths = [sums[path][1] / sums[path][0] for path in paths]
+    points = [sums[path][2] / sums[path][0] for path in paths]
 
     def smoothed(values: list[float], i: int) -> float:
         total = weight = 0.0
@@ -248,44 +278,50 @@ def path_scores(page: list[Block]) -> dict[str, float]:
         return total / weight
 
     scores: dict[str, float] = {}
-    for i, block in enumerate(page):
-        n, chars, _, links = sums[block.element.path]
+    for i, path in enumerate(paths):
+        n, chars, _, links = sums[path]
         fused = smoothed(lengths, i) * (1 + smoothed(points, i)) * (1 - links / chars)
-        scores[block.element.path] = scores.get(block.element.path, 0.0) + fused / n
-    return scores
+        scores[path] = scores.get(path, 0.0) + fused / n
+    return {path: score * (lowered if path.endswith("!") else 1) for path, score in scores.items()}
+
+
+def strong_blocks(page: list[Block], lowered: float = LOWERED) -> list[Block]:
+    """The blocks whose path's score passes."""
+    scores = path_scores(page, lowered)
+    least = min(PASS * statistics.pstdev(scores.values()), max(scores.values()))
+    return [block for block in page if scores[block.path] >= least]
 
 
 def main_text(html: str | None) -> str:
-    page = blocks(html or "")
-    page = [block for block in page if not block.element.other]
+    page = [block for block in blocks(html or "") if not block.element.unseen]
     if not page:
         return ""
-    scores = path_scores(page)
-    least = min(PASS * statistics.pstdev(scores.values()), max(scores.values()))
-    strong = [block for block in page if scores[block.element.path] >= least]
+    if not any(at.name in ("article", "main") for block in page for at in _around(block.element)):
+        # A name is no reason against an element that holds most of what scores highly without it.
+        high = strong_blocks(page, 1.0)
+        sizes: dict[Element, int] = {}
+        for block in high:
+            for at in _around(block.element):
+                sizes[at] = sizes.get(at, 0) + len(block.text)
+        for at, size in sizes.items():
+            at.holds |= 2 * size >= sum(len(block.text) for block in high)
+    strong = strong_blocks(page)
     total = sum(len(block.text) for block in strong)
     seen: list[Element] = []
     for block in strong:
-        at: Element | None = block.element
-        while at is not None:
+        for at in _around(block.element):
             if not at.strong:
                 seen.append(at)
             at.strong += len(block.text)
-            at = at.parent
     frames = [e for e in seen if e.name in ("", "html", "body", "article", "main", "section", "div", "td") and e.strong >= WITHIN * total]
     article = max(frames, key=lambda e: e.path.count("/"))
-    at: Element | None = article
-    while at is not None:
+    for at in _around(article):
         if at.name in ("article", "main"):
             article = at
-        at = at.parent
-
-    def inside(element: Element | None) -> bool:
-        while element is not None and element is not article:
-            element = element.parent
-        return element is article
-
-    return "\n".join(block.text for block in page if inside(block.element))
+    # What names itself as something else goes, unless it holds strong text.
+    return "\n".join(
+        block.text for block in page if article in _around(block.element) and all(e.strong for e in block.aside)
+    )
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -323,6 +323,29 @@ def test_main_text_of_bare_divisions():
     assert pages.main_text(page).split("\n") == ["Title", *[f"Paragraph {i}, of the post; and so on." for i in range(4)], "Short"]
 
 
+POST = [f"Paragraph {i} of the post, with text; and so on, to its end." for i in range(4)]
+POST_HTML = "".join(f"<p>{p}</p>" for p in POST)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<div class="layout has-sidebar"><article>{}</article></div>',
+        '<div class="layout sidebar"><article>{}</article></div>',
+        '<div class="elementor-widget-container"><div>{}</div></div>',
+        '<div class="widget"><div>{}</div></div>',
+        '<div id="page-with-sidebar"><main>{}</main></div>',
+        '<form id=f><div role=search><article>{}</article></div></form>',
+        '<div aria-hidden=true class="search related"><section>{}</section></div>',
+    ],
+)
+def test_names_do_not_remove_the_article(page):
+    head = '<div class="entry-header"><h1>Entry title</h1></div><div class=header><h2 class="post-header">Post title</h2></div>'
+    menu, ad = "<nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>", "<div class='ad'>Buy this, or that.</div>"
+    found = pages.main_text(f"<html><body>{menu}{ad}{page.format(head * ('article' in page) + POST_HTML)}<footer>All rights.</footer></body></html>")
+    assert found.split("\n") == ["Entry title", "Post title"] * ("article" in page) + POST
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
