@@ -3,7 +3,7 @@
 A page is cut into blocks of text, each with the path of block elements from the root to its
 leaf. Text length, punctuation and link text are summed by path and divided by the path's blocks;
 the ratios are smoothed along the page, fused into one score, and the paths whose
-score passes a share of the page's deviation hold the content. The element around nearly all of
+score passes a share of the page's deviation hold the content. The element around all of
 their text is the article; its blocks stay. Elements that name themselves as something else (menus,
 forms, notices, reader comments and the like) and hold no <article> or <main>, and on a page without these
 not most of what scores highly, are scored apart and
@@ -85,8 +85,6 @@ KERNEL = (1.0, 0.6, 0.15)
 PASS = 0.8
 #: What is left of a path's score under an element that names itself as something else.
 LOWERED = 0.05
-#: Share of the content paths' text that lies in the article's element.
-WITHIN = 0.9
 
 
 @dataclass(eq=False)
@@ -313,7 +311,7 @@ def main_text(html: str | None) -> str:
             if not at.strong:
                 seen.append(at)
             at.strong += len(block.text)
-    frames = [e for e in seen if e.name in ("", "html", "body", "article", "main", "section", "div", "td") and e.strong >= WITHIN * total]
+    frames = [e for e in seen if e.name in ("", "html", "body", "article", "main", "section", "div", "td") and e.strong == total]
     article = max(frames, key=lambda e: e.path.count("/"))
     for at in _around(article):
         if at.name in ("article", "main"):

@@ -346,6 +346,18 @@ def test_names_do_not_remove_the_article(page):
     assert found.split("\n") == ["Entry title", "Post title"] * ("article" in page) + POST
 
 
+@pytest.mark.parametrize(
+    "page, n",
+    [
+        ("<section>{}{}{}</section><section><p>The conclusion, in short.</p></section>", 13),
+        ("<div>{}{}{}</div><div><p>A short part.</p></div><div><p>One more, short.</p></div>", 14),
+    ],
+)
+def test_small_parts_on_content_paths_stay(page, n):
+    found = pages.main_text(f"<html><body>{page.replace('{}', POST_HTML)}<footer>All rights.</footer></body></html>")
+    assert found.split("\n")[:12] == POST * 3 and len(found.split("\n")) == n
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
