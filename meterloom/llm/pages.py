@@ -2,12 +2,13 @@
 
 A page is cut into blocks of text, each with the path of block elements from the root to its
 leaf. Text length, punctuation and link text are summed by path and divided by the path's blocks;
-the ratios are smoothed along the page, fused into one score, and the paths whose
-score passes a share of the page's deviation hold the content. The element around all of
-their text is the article; its blocks stay. Elements that name themselves as something else (menus,
-forms, notices, reader comments and the like) and hold no <article> or <main>, and on a page without these
-not most of what scores highly, are scored apart and
-lowered; they go unless they still pass.
+the ratios are smoothed along the page, fused into one score, and the paths whose score passes a
+share of the page's deviation hold the content: their blocks are the text. Other blocks
+stay if they have few links and lie between the first and the last of these, in the same <article> or
+<main> as one of these, or are the heading above the first. Elements that name themselves as something
+else (menus, forms, notices, reader comments and the like) and hold no <article> or <main>, and on a
+page without these not most of what scores highly, are scored apart and lowered; they go unless they
+still pass.
 
 Pages are read one by one inside tasks; a page of any length is read in one pass.
 
@@ -83,6 +84,10 @@ PUNCTUATION = re.compile(r"[.,;:!?。，！？]")
 KERNEL = (1.0, 0.6, 0.15)
 #: Share of the deviation of the scores that a content path passes.
 PASS = 0.8
+#: Share of link text up to which a block that does not pass stays between those that do.
+LINKED = 0.5
+#: Blocks that may stand between a heading and the first block that passes.
+LEAD = 3
 #: What is left of a path's score under an element that names itself as something else.
 LOWERED = 0.05
 
@@ -97,7 +102,7 @@ class Element:
     block: bool
     #: Whether an article or main element is inside.
     holds: bool = False
-    strong: int = 0
+    strong: bool = False
 
 
 @dataclass
@@ -112,6 +117,15 @@ class Block:
         """The elements around it that name themselves as something else and hold no article."""
         return [e for e in _around(self.element) if e.named and not e.holds]
 
+    @property
+    def heading(self) -> bool:
+        return any(at.name in HEADINGS for at in _around(self.element))
+
+    @property
+    def fits(self) -> bool:
+        """Whether it may stand with strong blocks: few links, and no such name without strong text."""
+        return self.links <= LINKED * len(self.text) and all(e.strong for e in self.aside)
+
     @property
     def path(self) -> str:
         """What its score goes by: text under such a name is apart from other text on the same path."""
@@ -303,23 +317,26 @@ def main_text(html: str | None) -> str:
                 sizes[at] = sizes.get(at, 0) + len(block.text)
         for at, size in sizes.items():
             at.holds |= 2 * size >= sum(len(block.text) for block in high)
-    strong = strong_blocks(page)
-    total = sum(len(block.text) for block in strong)
-    seen: list[Element] = []
-    for block in strong:
-        for at in _around(block.element):
-            if not at.strong:
-                seen.append(at)
-            at.strong += len(block.text)
-    frames = [e for e in seen if e.name in ("", "html", "body", "article", "main", "section", "div", "td") and e.strong == total]
-    article = max(frames, key=lambda e: e.path.count("/"))
-    for at in _around(article):
-        if at.name in ("article", "main"):
-            article = at
-    # What names itself as something else goes, unless it holds strong text.
-    return "\n".join(
-        block.text for block in page if article in _around(block.element) and all(e.strong for e in block.aside)
-    )
+    strong = {id(block) for block in strong_blocks(page)}
+    places = [i for i, block in enumerate(page) if id(block) in strong]
+    # The common ancestor of all strong blocks: only between its first and last one are weak blocks added.
+    inside = [False] * len(page)
+    for i in range(places[0], places[-1] + 1):
+        inside[i] = True
+    for i in places:
+        for at in _around(page[i].element):
+            at.strong = True
+    # An article's own ends bound it as strong blocks do.
+    for i, block in enumerate(page):
+        inside[i] |= any(at.strong and at.name in ("article", "main") for at in _around(block.element))
+    # A heading little before the first strong block belongs to it.
+    first = at = inside.index(True)
+    while at > 0 and first - at < LEAD and page[at - 1].fits and not page[at - 1].heading:
+        at -= 1
+    while at > 0 and page[at - 1].fits and page[at - 1].heading:
+        at -= 1
+        inside[at:first] = [True] * (first - at)
+    return "\n".join(block.text for i, block in enumerate(page) if id(block) in strong or (inside[i] and block.fits))
 
 
 def extracted(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -358,6 +358,20 @@ def test_small_parts_on_content_paths_stay(page, n):
     assert found.split("\n")[:12] == POST * 3 and len(found.split("\n")) == n
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class=x1>{menu}</div><h1>Title</h1><div>By me</div>{post}<div class=x2>Buy this.</div>", ["Title", "By me", *POST]),
+        ("<div><div class=x1>{menu}</div>{post}<h2>Part two</h2><div class=x3>{menu}</div>{post}</div>", [*POST, "Part two", *POST]),
+        ("<article><h1>Title</h1>{post}<ul><li>One<li>Two</ul><div class=x3>{menu}</div></article>", ["Title", *POST, "One", "Two"]),
+    ],
+)
+def test_scores_select_blocks(page, want):
+    menu = "<a href=1>Home</a> <a href=2>News</a> <a href=3>About</a>"
+    found = pages.main_text(f"<html><body>{page.format(menu=menu, post=POST_HTML)}<div class=x9>{menu}</div></body></html>")
+    assert found.split("\n") == want
+
+
 @pytest.mark.parametrize(
     "page, want",
     [
