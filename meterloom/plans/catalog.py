@@ -329,7 +329,9 @@ def _deliver(spark: SparkSession, d: str, root: str, part: str = "true", prefix:
 
 
 #: The two deliveries of the lake queries.
-EARLY, LATE = "substr(dt, 9, 2) <= '15'", "substr(dt, 9, 2) > '15'"
+EARLY = "substr(dt, 9, 2) <= '15'"
+#: All other rows, those without a day too.
+LATE = f"NOT coalesce({EARLY}, false)"
 
 
 def _gold(lake: Lake) -> DataFrame:
@@ -409,8 +411,8 @@ def lake_compacted(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lake_stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    """What staging took in, kept and dropped, per increment; nothing where
-    nothing was delivered."""
+    """What staging took in, kept and dropped for the first of two deliveries;
+    nothing where nothing was delivered. :func:`lake_increment_counts` has both."""
     lake = Lake(spark, scratch_folder(spark, "lake"))
     advance_all(lake, [P.HVAC])
     _deliver(spark, d, lake.root, EARLY)
@@ -421,6 +423,18 @@ def lake_stage_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.select("rows_in", "rows_out", "duplicates_removed")
 
 
+@query
+def lake_increment_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What staging took in, kept and dropped, per increment, over the whole feed."""
+    lake = Lake(spark, scratch_folder(spark, "lake"))
+    for part in (EARLY, LATE):
+        _deliver(spark, d, lake.root, part)
+        ingest(lake, f"{lake.root}/landing", P.HVAC)
+        advance_all(lake, [P.HVAC])
+    counts = tables.scan(spark, lake.path("stage_counts", P.HVAC.name))
+    return counts.select("rows_in", "rows_out", "duplicates_removed")
+
+
 # --- monitoring -------------------------------------------------------------------
 @query
 def execution_history(spark: SparkSession, d: str) -> DataFrame:

@@ -489,6 +489,11 @@ ORACLES: dict[str, str] = {
         count(*) - count(DISTINCT ("timestamp", equipment_id)) AS duplicates_removed
         FROM hvac_norm WHERE substr(dt, 9, 2) <= '15'"""
     ),
+    "lake_increment_counts": sql(
+        f"""SELECT count(*) AS rows_in, count(DISTINCT ("timestamp", equipment_id)) AS rows_out,
+        count(*) - count(DISTINCT ("timestamp", equipment_id)) AS duplicates_removed
+        FROM hvac_norm GROUP BY {_DELIVERY}"""
+    ),
     "lake_hvac_gold": _landed_gold("''"),
     "lake_rebuild": _landed_gold("''"),
     # Of two deliveries the first one's readings survive.

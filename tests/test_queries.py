@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import compare
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 
@@ -26,3 +28,15 @@ def test_entry_runs(spark):
     result = contract.entry(spark)
     assert result.count() > 0
     assert "uptime_pct" in result.columns
+
+
+def test_two_deliveries_are_the_whole_table(spark, small, tmp_path):
+    events = spark.read.parquet(f"{small}/events.parquet").orderBy(F.xxhash64("event_id")).limit(24)
+    dated = F.when(F.col("event_id") % 5 > 0, F.col("ts"))
+    events.withColumn("ts", dated).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    sql_side = duckdb.connect()
+    sql_side.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sql_side.execute("SELECT count(*) FROM events WHERE ts IS NULL").fetchone()[0] > 0
+    counts = QUERIES["lake_increment_counts"](spark, str(tmp_path))
+    assert compare.difference(counts, sql_side, ORACLES["lake_increment_counts"]) is None
+    assert sum(r["rows_in"] for r in counts.collect()) == 24 and counts.count() == 2
