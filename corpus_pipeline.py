@@ -58,7 +58,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_windows),
 ]
 
-#: Prototypes and tokenizers are beyond SQL: tests hold every stage against brute force.
+#: Prototypes and tokenizers are beyond SQL: tests hold line dedup and the join against brute force.
 ORACLE_SQL: str | None = None
 
 
