@@ -3,8 +3,9 @@
 Every stage works on all rows its predecessor kept; all but the last return the columns of
 ``documents``. Run under a session whose ``spark.checkpoint.dir`` is a shared folder.
 
-1. Language id: documents without a letter, or with a text unlike any learned language
-   (cosine under LEAST_SCORE), go.
+1. Language id: documents without a letter go, and those with a text unlike any learned
+   language (cosine under LEAST_SCORE); texts of a length at which labelled documents of a
+   learned language score as low are too short to judge and stay.
 2. Line dedup: repeated lines of 20 code points and more stay in one document only.
 3. N-gram Jaccard join (five words, 0.8): one document of each group of near copies stays.
 4. Mixing: sources are sampled or repeated towards their target weights.
@@ -22,15 +23,22 @@ from pyspark.sql import functions as F
 from meterloom.llm import langid, linededup, mixing, overlap, packing
 from meterloom.llm.common import fresh, kept, table
 
-#: Cosine with the nearest language below which a text counts as none.
-LEAST_SCORE = 0.05
+#: Cosine with the nearest language below which a text counts as none: five deviations of a random text's.
+LEAST_SCORE = 5 / langid.DIMENSIONS**0.5
+#: Share of a length's labelled documents that may score lower where texts are judged.
+LOW = 0.01
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    into = fresh(docs, "language")
-    named = langid.identified(docs, into=into)
-    good = (F.col(into)["lang"] != langid.UNKNOWN) & (F.col(into)["score"] >= LEAST_SCORE)
-    return named.where(good).drop(into)
+    into, size = fresh(docs, "language"), fresh(docs, "length")
+    named = langid.identified(docs, into=into).withColumn(size, langid.gram_counts(F.col("text")))
+    # Lengths by powers of two: some 40 rows reach the driver.
+    named = kept(named.withColumn(size, F.floor(F.log2(F.greatest(F.col(size), F.lit(1))))), "language-scores")
+    own = named.where(F.col(into)["lang"] == F.col("lang")).groupBy(size)
+    low = own.agg(F.percentile_approx(F.col(into)["score"], LOW).alias("low"))
+    judged = [row[size] for row in low.where(F.col("low") >= LEAST_SCORE).collect()]
+    good = (F.col(into)["score"] >= LEAST_SCORE) | ~F.col(size).isin(judged)
+    return named.where((F.col(into)["lang"] != langid.UNKNOWN) & good).drop(into, size)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

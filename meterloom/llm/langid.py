@@ -118,6 +118,17 @@ def space() -> Space:
     return Space()
 
 
+def gram_counts(text: Column) -> Column:
+    """n-grams of each text."""
+
+    @F.pandas_udf("bigint")
+    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([sum(len(keys) for keys in grams(body or "")) for body in part], dtype="int64")
+
+    return count(text.cast("string"))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import compare
@@ -99,5 +100,24 @@ def test_pipeline_stages(spark, small):
     assert sum(r["start"] == 0 for r in packed) == mixed
 
 
+def test_language_stage_drops_noise_and_keeps_short_texts(spark, small):
+    docs = table(spark, small, "documents")
+    pick = random.Random(1)
+
+    def noise(low, high):
+        return " ".join("".join(chr(pick.randint(low, high)) for _ in range(pick.randint(3, 8))) for _ in range(200))
+
+    bad = [noise(*span) for span in ((97, 122), (0x430, 0x44F), (0xE01, 0xE2E), (0x3B1, 0x3C9)) for _ in range(10)]
+    words = [r["text"].split()[0] for r in docs.where("lang IS NOT NULL AND n_chars > 400").limit(60).collect()]
+    short = [word for word in words if any(c.isalpha() for c in word)]
+    rows = [(10**9 + i, text, None, None, len(text)) for i, text in enumerate(bad + short)]
+    planted = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(
+        spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    )
+    stay = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, planted, small).collect()}
+    assert [i for i in range(len(bad)) if 10**9 + i in stay] == []
+    assert all(10**9 + len(bad) + i in stay for i in range(len(short)))
+
+
 def test_pipeline_runs_whole(spark, small):
     assert corpus_pipeline.run(spark, small).count() > 0
