@@ -98,9 +98,108 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP11 = rf"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM documents),
+wanted AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS term FROM benchmark WHERE item_id IS NOT NULL)
+  GROUP BY item_id, term),
+sizes AS (SELECT doc_id, count(*)::BIGINT AS n FROM terms GROUP BY doc_id),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sizes),
+tf AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM terms
+  WHERE term IN (SELECT term FROM wanted) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term), corpus),
+parts AS (
+  SELECT tf.doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total))) AS part
+  FROM tf JOIN sizes USING (doc_id) JOIN weights USING (term), corpus),
+scored AS (
+  SELECT item_id, doc_id, sum(times * part)::BIGINT AS score
+  FROM parts JOIN wanted USING (term) WHERE doc_id IS NOT NULL GROUP BY item_id, doc_id),
+placed AS (
+  SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+OP12 = rf"""
+WITH worded AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER}, '{TERM}'), []) AS w FROM documents),
+items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER}, '{TERM}') AS w FROM benchmark
+  WHERE item_id IS NOT NULL AND text IS NOT NULL),
+sized AS (SELECT item, w, least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT item, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+met AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i
+        FROM worded CROSS JOIN (SELECT DISTINCT k FROM windows) WHERE len(w) >= k)),
+hits AS (SELECT doc_id, i, k, item FROM met JOIN windows USING (k, phrase)),
+hit AS (
+  SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+held AS (
+  SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY encode(item)) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM worded LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+#: The checksum is the usual bytewise one, its table made by its rule.
+OP13 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*)::BIGINT AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run),
+polynomial AS (
+  SELECT [list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+          for i in range(256)] AS tb),
+named AS (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || run AS line FROM runs),
+summed AS (
+  SELECT run, times, xor(list_reduce([4294967295::BIGINT]
+           || [('0x' || substr(hex(encode(line)), 2 * i + 1, 2))::BIGINT for i in range(strlen(line))],
+           lambda c, b: xor(c >> 8, tb[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM named, polynomial),
+spoilt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2)
+              ELSE run END AS word, times FROM summed),
+words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM spoilt WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+short AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n
+  FROM short a JOIN short b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM short a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM short a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, other, other_n, count(*) OVER (PARTITION BY word)::BIGINT AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS place FROM pairs),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word AND place = 1),
+followed AS (
+  SELECT word, word AS root, form AS ahead FROM formed
+  UNION ALL SELECT f.word, f.ahead, n.form FROM followed f JOIN formed n ON n.word = f.ahead)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.root
+FROM formed f JOIN followed r ON r.word = f.word AND r.ahead IS NULL
+"""
+
 ORACLES = {
     "op6_top_products": OP6,
     "op7_shingle_components": OP7,
     "op8_repeated_lines": OP8,
     "op10_source_mix": OP10,
+    "op11_ranked_documents": OP11,
+    "op12_benchmark_hits": OP12,
+    "op13_spelling_variants": OP13,
 }

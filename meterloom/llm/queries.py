@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm import langid, linededup, mixing, nearest, overlap, packing, pages, quality, suffix, tokens
+from meterloom.llm import decontaminate, langid, linededup, mixing, nearest, overlap, packing, pages, quality, ranked
+from meterloom.llm import spelling, suffix, tokens
 from meterloom.llm.common import table
 from meterloom.llm.oracles import ORACLES
 
@@ -64,6 +65,18 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hit_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hyperdimensional_language": op1_hyperdimensional_language,
     "op2_quality_votes": op2_quality_votes,
@@ -75,4 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_lines": op8_repeated_lines,
     "op9_packed_windows": op9_packed_windows,
     "op10_source_mix": op10_source_mix,
+    "op11_ranked_documents": op11_ranked_documents,
+    "op12_benchmark_hits": op12_benchmark_hits,
+    "op13_spelling_variants": op13_spelling_variants,
 }

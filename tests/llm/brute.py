@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -109,3 +111,88 @@ def top_products(vectors, k, every):
             )[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
+
+
+TERMS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERMS.findall(ascii_lower(text or ""))
+
+
+def ranked(docs, items, k):
+    """docs: list of (id, text); items: list of (id, text); rows (item, rank, id, score)."""
+    bodies = [(i, Counter(terms(t))) for i, t in docs]
+    bodies = [(i, c, sum(c.values())) for i, c in bodies if c]
+    total, n = sum(b[2] for b in bodies), len(bodies)
+    df = Counter(term for _, c, _ in bodies for term in c)
+    wanted = defaultdict(Counter)
+    for i, text in items:
+        if i is not None:
+            wanted[i].update(terms(text))
+    out = []
+    for item, query in wanted.items():
+        found = []
+        for i, c, size in bodies:
+            m = 75 + (25 * size * n) // total
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t, times in query.items()
+                if c[t]
+            )
+            if score > 0 and i is not None:
+                found.append((-score, i))
+        out += [(item, r + 1, i, -s) for r, (s, i) in enumerate(sorted(found)[:k])]
+    return sorted(out)
+
+
+def benchmark_hits(text, items, length):
+    """n_words, n_hit, ids of the items (as strings, sorted) that occur."""
+    w = terms(text)
+    hit, held = set(), set()
+    for item, body in items:
+        q = terms(body)
+        k = min(length, len(q))
+        if item is None or not k:
+            continue
+        windows = {tuple(q[i : i + k]) for i in range(len(q) - k + 1)}
+        for i in range(len(w) - k + 1):
+            if tuple(w[i : i + k]) in windows:
+                hit.update(range(i, i + k))
+                held.add(str(item))
+    return len(w), len(hit), sorted(held)
+
+
+def near_spelling(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def spelling(docs):
+    """docs: list of (id, text); word -> (n, n_near, form, form_n, root)."""
+    n = Counter()
+    for i, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = ascii_lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= 7 and c >= 2}
+    near = {w: [x for x in n if near_spelling(w, x)] for w in n}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    out = {}
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out[w] = (n[w], len(near[w]), form[w], n.get(form[w]), root)
+    return out
