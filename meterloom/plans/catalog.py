@@ -19,8 +19,10 @@ from meterloom.operators import (
     inspection,
     kpis,
     monitoring,
+    partials,
     quality,
     rollups,
+    sketches,
 )
 from meterloom.operators.cleaning import RUN_ID
 from meterloom.plans import views
@@ -397,11 +399,16 @@ def lake_rebuild(spark: SparkSession, d: str) -> DataFrame:
     return _gold(lake)
 
 
+#: Five deliveries: by the day of the month, and the rest.
+FIFTHS = [f"substr(dt, 9, 2) BETWEEN '{low:02d}' AND '{low + 5:02d}'" for low in (1, 7, 13, 19)]
+FIFTHS.append(f"NOT coalesce({' OR '.join(FIFTHS)}, false)")
+
+
 @query
 def lake_compacted(spark: SparkSession, d: str) -> DataFrame:
-    """Gold when all layers are compacted between two deliveries and after them."""
+    """Gold when all layers are compacted after each of five deliveries."""
     lake = Lake(spark, scratch_folder(spark, "lake"))
-    for part in (EARLY, LATE):
+    for part in FIFTHS:
         _take_in(lake, d, part)
         for layer in ("bronze", *UPSTREAM[P.HVAC.name]):
             compact(lake, layer, P.HVAC)
@@ -411,11 +418,11 @@ def lake_compacted(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def lake_stage_counts(spark: SparkSession, d: str) -> DataFrame:
-    """What staging took in, kept and dropped for the first of two deliveries;
-    nothing where nothing was delivered. :func:`lake_increment_counts` has both."""
+    """What staging took in, kept and dropped of the whole feed in one delivery; nothing
+    before anything was delivered, and nothing more when it is called again."""
     lake = Lake(spark, scratch_folder(spark, "lake"))
     advance_all(lake, [P.HVAC])
-    _deliver(spark, d, lake.root, EARLY)
+    _deliver(spark, d, lake.root)
     ingest(lake, f"{lake.root}/landing", P.HVAC)
     for _ in range(2):
         advance_all(lake, [P.HVAC])
@@ -435,6 +442,36 @@ def lake_increment_counts(spark: SparkSession, d: str) -> DataFrame:
     return counts.select("rows_in", "rows_out", "duplicates_removed")
 
 
+# --- distinct counts by sketches ------------------------------------------------------
+def _sketched(rows: DataFrame, dataset: str, unit: str) -> DataFrame:
+    """Units of each building, exactly and from merged daily sketches."""
+    daily = sketches.distinct_sketches(rows, ["building_id", "dt"], unit)
+    merged = sketches.merged_sketches(daily, ["building_id"])
+    exact = rows.dropna(subset=["building_id", "dt"]).groupBy("building_id").agg(F.count_distinct(unit).alias("units"))
+    off = F.abs(sketches.estimate(F.col("sketch")) - F.col("units"))
+    within = off <= F.ceil(F.col("units") * sketches.BOUND)
+    return exact.join(merged, "building_id").select(
+        F.lit(dataset).alias("dataset"), "building_id", "units", within.alias("within_bound")
+    )
+
+
+@query
+def unit_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """Exact distinct counts beside those of sketches kept by day and merged over days."""
+    hvac = _sketched(hvac_normalised(spark, d), P.HVAC.name, "equipment_id")
+    return hvac.unionByName(_sketched(utility_normalised(spark, d), P.UTILITY.name, "meter_id"))
+
+
+@query
+def hvac_daily_summary_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """The daily summary from partials of three pieces of the table, with sketched unit counts;
+    a building's few units are counted exactly by a sketch too."""
+    rows, report = hvac_kpis(spark, d), partials.HVAC_DAILY_SKETCHED
+    piece = F.pmod(F.xxhash64("timestamp", "equipment_id"), F.lit(3))
+    made = [report.partial(rows.where(piece == n)) for n in range(3)]
+    return report.report(made[0].unionByName(made[1]).unionByName(made[2]))
+
+
 # --- monitoring -------------------------------------------------------------------
 @query
 def execution_history(spark: SparkSession, d: str) -> DataFrame:
@@ -473,7 +510,7 @@ def _run(stream: DataFrame, name: str) -> DataFrame:
     return stream.sparkSession.read.schema(kind).parquet(f"{root}/table")
 
 
-def _reported(stream: DataFrame, dataset: P.Dataset, report: stages.Report) -> DataFrame:
+def _reported(stream: DataFrame, dataset: P.Dataset, report: partials.Mergeable) -> DataFrame:
     """A daily report kept by a stream over what is there now."""
     spark = stream.sparkSession
     root = scratch_folder(spark, "stream-report")
@@ -485,7 +522,7 @@ def _reported(stream: DataFrame, dataset: P.Dataset, report: stages.Report) -> D
 
 @query
 def stream_hvac_daily_summary(spark: SparkSession, d: str) -> DataFrame:
-    return _reported(_hvac_stream(spark, d), P.HVAC, rollups.hvac_daily_summary)
+    return _reported(_hvac_stream(spark, d), P.HVAC, partials.HVAC_DAILY)
 
 
 @query
@@ -510,9 +547,9 @@ def stream_hvac_deduplicated(spark: SparkSession, d: str) -> DataFrame:
 @query
 def stream_utility_daily_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = _stream(spark, d, views.UTILITY_RAW, "lineitem")
-    return _reported(rows, P.UTILITY, rollups.utility_daily_summary)
+    return _reported(rows, P.UTILITY, partials.UTILITY_DAILY)
 
 
 @query
 def stream_equipment_daily(spark: SparkSession, d: str) -> DataFrame:
-    return _reported(_hvac_stream(spark, d), P.HVAC, rollups.equipment_daily)
+    return _reported(_hvac_stream(spark, d), P.HVAC, partials.EQUIPMENT_DAILY)

@@ -8,12 +8,14 @@ landing -> bronze -> staging -> dq_validated (+ quarantine, dq_logs)
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom import presets as P
@@ -23,6 +25,9 @@ from meterloom.presets import Dataset
 from meterloom.sources import landing, tables
 from meterloom.sources.ledger import Ledger, id_list, new_ids
 
+#: Runs of a level that compaction joins.
+FANOUT = 2
+
 # Which layer a dataset's layer is built from.
 UPSTREAM = {
     P.HVAC.name: {
@@ -113,11 +118,12 @@ def _land_planned(lake: Lake, dataset: Dataset) -> list[str]:
     A run that died half way has its old name and its old files, so it replaces
     what it left.
     """
-    open_files = _planned(lake, dataset).join(lake.files(dataset).ids(), "path", "left_anti")
+    open_files = _planned(lake, dataset).join(lake.files(dataset).ids(), "path", "left_anti").persist()
     run_ids = sorted(row[RUN_ID] for row in open_files.select(RUN_ID).distinct().collect())
+    # The plan is read once; a run's files are a filter on what is open of it.
     for run_id in run_ids:
-        planned = _planned(lake, dataset).where(F.col(RUN_ID) == run_id).select("path")
-        land_files(lake, planned, dataset, run_id)
+        land_files(lake, open_files.where(F.col(RUN_ID) == run_id).select("path"), dataset, run_id)
+    open_files.unpersist()
     return run_ids
 
 
@@ -178,13 +184,13 @@ def advance(
     """Process the upstream runs ``layer`` has not seen; returns their ids.
 
     A missing upstream table has no new runs. Staging counts what it took in,
-    kept and dropped in ``stage_counts``.
+    kept and dropped in ``stage_counts``: the job that writes the rows counts them.
     """
     if dedup_scope not in ("batch", "table"):
         raise ValueError(f"dedup_scope must be 'batch' or 'table', not {dedup_scope!r}")
     upstream = UPSTREAM[dataset.name][layer]
     seen = lake.runs(layer, dataset)
-    named = id_list(new_ids(lake.runs(upstream, dataset).ids(), seen.ids(), RUN_ID), RUN_ID)
+    named = id_list(new_ids(lake.runs(upstream, dataset).ids(), seen.known(), RUN_ID), RUN_ID)
     if not named:
         return []
     rows = lake.of_runs(upstream, dataset, named)
@@ -196,9 +202,10 @@ def advance(
         # The other layers keep the layout of what they read.
         result = transform_for(layer, dataset, known)(rows)
         target = lake.path(layer, dataset.name)
-        tables.append_runs(result, target, rebalance=layer == "staging")
-        if layer == "staging":
-            _count(lake, dataset, rows, named)
+        observed = Observation() if layer == "staging" else None
+        tables.append_runs(result, target, rebalance=layer == "staging", observed=observed)
+        if observed is not None:
+            _count(lake, dataset, rows, observed.get.get("rows", 0), named)
         if layer == "dq_validated":
             _after_grading(lake, dataset, named)
     seen.commit_values(named)
@@ -210,20 +217,18 @@ def increment_id(run_ids: Sequence[str]) -> str:
     return "inc-" + hashlib.sha256("\n".join(sorted(run_ids)).encode()).hexdigest()[:32]
 
 
-def _count(lake: Lake, dataset: Dataset, rows: DataFrame, named: list[str]) -> None:
-    """Rows in, rows kept, duplicates and runs of one increment of staging."""
-    rows_in = rows.agg(F.count(F.lit(1)).alias("rows_in"))
-    made = lake.of_runs("staging", dataset, named)
-    kept = 0 if made is None else made.count()
-    counted = rows_in.select(
-        "rows_in",
-        F.lit(kept).cast("long").alias("rows_out"),
-        (F.col("rows_in") - kept).alias("duplicates_removed"),
-        F.lit(len(named)).cast("long").alias("new_runs"),
-        F.lit(now()).alias("logged_at"),
-        F.lit(increment_id(named)).alias(RUN_ID),
+def _count(lake: Lake, dataset: Dataset, rows: DataFrame, kept: int, named: list[str]) -> None:
+    """Rows in, rows kept, duplicates and runs of one increment of staging.
+
+    Rows in come from file footers, which hold their number: no column is read. (Counted
+    on their way into the shuffle, they would count twice when an executor is lost.)
+    """
+    taken = rows.count()
+    counted = lake.spark.createDataFrame(
+        [(taken, kept, taken - kept, len(named), now(), increment_id(named))],
+        f"rows_in long, rows_out long, duplicates_removed long, new_runs long, logged_at string, {RUN_ID} string",
     )
-    tables.append_runs(counted, lake.path("stage_counts", dataset.name), partition_by=(RUN_ID,))
+    tables.append_runs(counted.coalesce(1), lake.path("stage_counts", dataset.name), partition_by=(RUN_ID,))
 
 
 def _known_keys(
@@ -309,34 +314,56 @@ def rebuild(
     _build(lake, built_on)
 
 
-def compact(lake: Lake, layer: str, dataset: Dataset) -> str | None:
-    """Join the finished runs of a layer into one, of few larger files.
+def _level(run_id: str) -> int:
+    """How many joins a run has behind it."""
+    found = re.match(r"join(\d+)-", run_id)
+    return int(found[1]) if found else 0
+
+
+def compact(lake: Lake, layer: str, dataset: Dataset, fanout: int = FANOUT) -> str | None:
+    """Join runs of a layer into fewer, of larger files.
+
+    Runs have levels: what ingestion makes is of level 0, and ``fanout`` or more runs of a
+    level are joined into one of the next. So a row is rewritten once per level, a
+    logarithmic number of times however often a schedule calls this, and few runs are left.
 
     Only runs that every later layer and report has taken are joined, so nothing
     is processed again. Readers go by the ledger: they see the old runs until it
-    names the new one, then the new one. Returns the new run, or None if fewer than two
-    runs can be joined.
+    names the new one, then the new one. The old folders stay until the next call, for readers
+    that started before. A call may die anywhere: until the one append that renames the runs,
+    nothing has changed; after it, only the folders to delete are left, and the next call does
+    that. Returns the last new run, or None if no level has enough.
     """
+    if fanout < 2:
+        raise ValueError(f"fanout is at least 2, not {fanout}")
     readers = [lake.runs(name, dataset) for name, up in UPSTREAM[dataset.name].items() if up == layer]
     readers += [
         report_ledger(lake, report)
         for report in REPORTS
         if (report.layer, report.dataset.name) == (layer, dataset.name)
     ]
-    own = lake.runs(layer, dataset)
-    finished = id_list(own.ids(), RUN_ID)
-    taken = set(finished).intersection(*(id_list(reader.ids(), RUN_ID) for reader in readers))
-    rows = lake.of_runs(layer, dataset, sorted(taken)) if len(taken) > 1 else None
-    if rows is None:
-        return None
-    joined = increment_id(taken)
-    path = lake.path(layer, dataset.name)
-    tables.append_runs(rows.withColumn(RUN_ID, F.lit(joined)), path, rebalance=True)
-    for reader in readers:
-        reader.commit_values([joined])
-    own.rename(sorted(taken), joined)
-    for run_id in taken:
+    own, path = lake.runs(layer, dataset), lake.path(layer, dataset.name)
+    last, replaced = own.last_round()
+    for run_id in replaced:
         tables.drop(lake.spark, f"{path}/{RUN_ID}={run_id}")
+    taken = set(id_list(own.ids(), RUN_ID)).intersection(
+        *(id_list(reader.known(), RUN_ID) for reader in readers)
+    )
+    levels: dict[int, list[str]] = defaultdict(list)
+    for run_id in sorted(taken):
+        levels[_level(run_id)].append(run_id)
+    joined, level = None, 0
+    while level <= max(levels, default=-1):
+        runs = levels[level]
+        rows = lake.of_runs(layer, dataset, runs) if len(runs) >= fanout else None
+        if rows is not None:
+            joined = f"join{level + 1}-{increment_id(runs)}"
+            tables.append_runs(rows.withColumn(RUN_ID, F.lit(joined)), path, rebalance=True)
+            for reader in readers:
+                reader.acknowledge(joined)
+            own.rename(runs, joined, last + 1)
+            levels[level + 1].append(joined)
+        level += 1
     return joined
 
 
@@ -402,7 +429,7 @@ def refresh_gold(lake: Lake) -> list[str]:
     for report in REPORTS:
         done = report_ledger(lake, report)
         upstream = id_list(lake.runs(report.layer, report.dataset).ids(), RUN_ID)
-        seen = set(id_list(done.ids(), RUN_ID))
+        seen = set(id_list(done.known(), RUN_ID))
         named = [run_id for run_id in upstream if run_id not in seen]
         rows = lake.of_runs(report.layer, report.dataset, upstream)
         new = lake.of_runs(report.layer, report.dataset, named)
@@ -414,8 +441,8 @@ def refresh_gold(lake: Lake) -> list[str]:
             tables.overwrite(
                 report.build(days), lake.path("gold", report.name), by_day, touched_only=True
             )
+            refreshed.append(report.name)
         done.commit_values(named)
-        refreshed.append(report.name)
     return refreshed
 
 

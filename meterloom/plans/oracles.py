@@ -335,6 +335,10 @@ FROM (SELECT count(*) AS n FROM {source} GROUP BY {keys})
 _STATUS_COLUMNS = [f"{stage}_status" for stage in P.STAGES]
 
 _DELIVERY = "CASE WHEN substr(dt, 9, 2) <= '15' THEN '1' ELSE '2' END"
+_FIFTH = (
+    "CASE WHEN substr(dt, 9, 2) BETWEEN '01' AND '06' THEN '1' WHEN substr(dt, 9, 2) BETWEEN '07' AND '12' THEN '2' "
+    "WHEN substr(dt, 9, 2) BETWEEN '13' AND '18' THEN '3' WHEN substr(dt, 9, 2) BETWEEN '19' AND '24' THEN '4' ELSE '5' END"
+)
 
 
 def _landed_gold(ingested_at: str) -> str:
@@ -487,7 +491,7 @@ ORACLES: dict[str, str] = {
     "lake_stage_counts": sql(
         """SELECT count(*) AS rows_in, count(DISTINCT ("timestamp", equipment_id)) AS rows_out,
         count(*) - count(DISTINCT ("timestamp", equipment_id)) AS duplicates_removed
-        FROM hvac_norm WHERE substr(dt, 9, 2) <= '15'"""
+        FROM hvac_norm"""
     ),
     "lake_increment_counts": sql(
         f"""SELECT count(*) AS rows_in, count(DISTINCT ("timestamp", equipment_id)) AS rows_out,
@@ -498,5 +502,12 @@ ORACLES: dict[str, str] = {
     "lake_rebuild": _landed_gold("''"),
     # Of two deliveries the first one's readings survive.
     "lake_replay": _landed_gold(_DELIVERY),
-    "lake_compacted": _landed_gold(_DELIVERY),
+    "lake_compacted": _landed_gold(_FIFTH),
+    "unit_sketches": sql(
+        """SELECT 'hvac_telemetry' AS dataset, building_id, count(DISTINCT equipment_id) AS units, true AS within_bound
+        FROM hvac_norm WHERE building_id IS NOT NULL AND dt IS NOT NULL GROUP BY building_id
+        UNION ALL SELECT 'utility_meter', building_id, count(DISTINCT meter_id), true
+        FROM utility_norm WHERE building_id IS NOT NULL AND dt IS NOT NULL GROUP BY building_id"""
+    ),
+    "hvac_daily_summary_sketched": sql(_hvac_daily("hvac_silver")),
 }

@@ -6,7 +6,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,37 @@ def scan_folders(
         return reader.parquet(*folders)
 
 
+def folder(spark: SparkSession, column: str, value: str | None) -> str:
+    """The folder that Spark's writer gives a partition value, escaped as it does."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(column, value)
+
+
+def folder_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of ``column`` that have a folder right below ``path``: one listing of it."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    unescaped = context._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    return [unescaped(name[len(column) + 1 :]) for name in names if name.startswith(f"{column}=")]
+
+
+def scan_values(
+    spark: SparkSession, path: str, column: str, values: Sequence[str], empty: T.StructType | str
+) -> DataFrame:
+    """Like :func:`scan_folders`, for values of any characters; ``empty`` is the schema
+    of a table without these folders, and what is read otherwise."""
+    folders = [f"{path}/{folder(spark, column, value)}" for value in values]
+    folders = [found for found in folders if exists(spark, found)]
+    if not folders:
+        return spark.createDataFrame([], empty)
+    with text_partition_values(spark):
+        return spark.read.option("basePath", path).schema(empty).parquet(*folders)
+
+
 def scan_runs(spark: SparkSession, path: str, run_ids: Sequence[str]) -> DataFrame | None:
     return scan_folders(spark, path, RUN_ID, run_ids)
 
@@ -85,10 +116,17 @@ def append_runs(
     partition_by: Sequence[str] = PARTITIONS,
     rebalance: bool = False,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    observed: Observation | None = None,
 ) -> None:
     """Add runs to a table. Each run has folders of its own, and writing it again
-    replaces them: a run that died after its data was written can be replayed."""
-    writer = _laid_out(df, partition_by, rebalance).write.mode("overwrite")
+    replaces them: a run that died after its data was written can be replayed.
+
+    ``observed`` gets ``rows``, counted by the tasks that write; a task done twice counts once.
+    """
+    laid = _laid_out(df, partition_by, rebalance)
+    if observed is not None:
+        laid = laid.observe(observed, F.count(F.lit(1)).alias("rows"))
+    writer = laid.write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.partitionBy(*partition_by).parquet(path)

@@ -256,6 +256,99 @@ def test_compacted_layers_read_the_same(spark, lake, tmp_path):
     assert tables.scan(spark, lake.path("gold", "hvac_daily_summary")).collect() == gold
 
 
+def joinable(lake, tmp_path, runs=2):
+    for n in range(runs):
+        put(tmp_path, day(), f"f{n}", at(n), at(n + 20, supply_air_temp=400.0))
+        L.ingest(lake, landing_root(tmp_path), P.HVAC)
+    L.advance_all(lake, [P.HVAC])
+    L.refresh_gold(lake)
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", [0, 1, 3, 4])
+def test_compaction_may_die_at_any_step(lake, tmp_path, monkeypatch, step):
+    """Its writes are: the rows, a note to each of two readers, the renames, and
+    after them nothing but old folders to delete."""
+    joinable(lake, tmp_path)
+    before = rows_of(lake.finished("fault_detection", P.HVAC), "timestamp", "supply_air_temp")
+    left = [step]
+
+    def dying(function):
+        def call(*args, **more):
+            if not left[0]:
+                raise Died
+            left[0] -= 1
+            return function(*args, **more)
+        return call
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "append_runs", dying(tables.append_runs))
+        patch.setattr(ledger.Ledger, "acknowledge", dying(ledger.Ledger.acknowledge))
+        patch.setattr(ledger.Ledger, "rename", dying(ledger.Ledger.rename))
+        if step < 4:
+            with pytest.raises(Died):
+                L.compact(lake, "fault_detection", P.HVAC)
+        else:
+            assert L.compact(lake, "fault_detection", P.HVAC)
+    read = lambda: rows_of(lake.finished("fault_detection", P.HVAC), "timestamp", "supply_air_temp")
+    assert read() == before
+    assert all(runs == [] for runs in L.advance_all(lake, [P.HVAC]).values()) and L.refresh_gold(lake) == []
+    L.compact(lake, "fault_detection", P.HVAC)
+    L.compact(lake, "fault_detection", P.HVAC)
+    assert read() == before and len(lake.runs("fault_detection", P.HVAC).ids().collect()) == 1
+    assert all(runs == [] for runs in L.advance_all(lake, [P.HVAC]).values()) and L.refresh_gold(lake) == []
+
+
+def test_compaction_of_one_layer_makes_no_work_for_it(lake, tmp_path):
+    joinable(lake, tmp_path)
+    assert L.compact(lake, "staging", P.HVAC)
+    assert all(runs == [] for runs in L.advance_all(lake, [P.HVAC]).values())
+
+
+def test_compaction_leaves_readers_alone(lake, tmp_path):
+    joinable(lake, tmp_path)
+    opened = lake.finished("silver", P.HVAC)
+    before = rows_of(opened, "timestamp")
+    assert L.compact(lake, "silver", P.HVAC)
+    assert rows_of(opened, "timestamp") == before == rows_of(lake.finished("silver", P.HVAC), "timestamp")
+    assert L.compact(lake, "silver", P.HVAC) is None  # deletes the folders of the round before
+    assert len(lake.table("silver", P.HVAC).inputFiles()) == 1
+
+
+def test_compaction_rewrites_a_row_a_logarithmic_number_of_times(spark, lake, monkeypatch):
+    """Twelve runs, compacted after each, in a layer nobody reads but gold."""
+    written, path = [], lake.path("silver", P.HVAC.name)
+    append = tables.append_runs
+    ready = [L.report_ledger(lake, report) for report in L.REPORTS if report.layer == "silver" and report.dataset is P.HVAC]
+
+    def counting(rows, *args, **more):
+        written.append(rows.count())
+        append(rows, *args, **more)
+
+    for n in range(12):
+        rows = spark.range(10).selectExpr("id", "'B1' AS building_id", "'2026-01-05' AS dt", f"'run-{n:02d}' AS {RUN_ID}")
+        append(rows.coalesce(1), path)
+        for each in (lake.runs("silver", P.HVAC), *ready):
+            each.commit_values([f"run-{n:02d}"])
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, "append_runs", counting)
+            L.compact(lake, "silver", P.HVAC)
+    assert lake.finished("silver", P.HVAC).count() == 120
+    assert len(ledger.id_list(lake.runs("silver", P.HVAC).ids(), RUN_ID)) <= 4
+    assert sum(written) <= 120 * 4  # fewer than 2^4 runs
+
+
+def test_staging_counts_while_it_writes(lake, tmp_path):
+    put(tmp_path, day(), "a", at(0), at(0), at(1))
+    L.ingest(lake, landing_root(tmp_path), P.HVAC)
+    L.advance_all(lake, [P.HVAC])
+    counts = tables.scan(lake.spark, lake.path("stage_counts", P.HVAC.name))
+    assert rows_of(counts, "rows_in", "rows_out", "duplicates_removed", "new_runs") == [(3, 2, 1, 1)]
+
+
 def test_refreshed_gold_equals_full_gold(spark, lake, tmp_path):
     put(tmp_path, day(), "a", at(0), at(1, heating_coil_temp=140.0))
     put(tmp_path, day("B2", "2026-01-06"), "b", at(0, equipment_id="AHU-B2-01"))

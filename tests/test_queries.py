@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
+import sys
+from types import ModuleType
+
 import compare
 import duckdb
 import pytest
@@ -40,3 +44,13 @@ def test_two_deliveries_are_the_whole_table(spark, small, tmp_path):
     counts = QUERIES["lake_increment_counts"](spark, str(tmp_path))
     assert compare.difference(counts, sql_side, ORACLES["lake_increment_counts"]) is None
     assert sum(r["rows_in"] for r in counts.collect()) == 24 and counts.count() == 2
+
+
+@pytest.mark.parametrize("lacking", ["meterloom.llm", "corpus_pipeline", "public_tokenizers"])
+def test_core_queries_without_the_optional_part(monkeypatch, lacking):
+    """Whatever of it cannot be imported, a bare folder in its place included."""
+    for name in [m for m in sys.modules if m.startswith("meterloom.llm") or m in ("corpus_pipeline", "__spark_entry__")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, lacking, ModuleType(lacking) if lacking == "meterloom.llm" else None)
+    again = importlib.import_module("__spark_entry__")
+    assert set(again.queries()) == set(QUERIES) and set(again.oracle_sql()) == set(ORACLES)

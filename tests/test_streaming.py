@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from readings import HVAC, frame
 
 from meterloom import presets as P
-from meterloom.operators import cleaning, faults, kpis, quality, rollups
+from meterloom.operators import cleaning, faults, kpis, partials, quality, rollups
 from meterloom.sources import tables
 from meterloom.streaming import stages
 
@@ -57,7 +57,9 @@ def test_stateless_stages_and_alarms_equal_their_batch_form(spark, tmp_path):
     assert same(run(alarms, tmp_path, "alarms"), rollups.alarm_log(expected))
 
 
-REPORTS = {"daily": rollups.hvac_daily_summary, "units": rollups.equipment_daily}
+REPORTS = {"daily": partials.HVAC_DAILY, "units": partials.EQUIPMENT_DAILY, "sketched": partials.HVAC_DAILY_SKETCHED}
+BATCH_REPORTS = {
+    "daily": rollups.hvac_daily_summary, "units": rollups.equipment_daily, "sketched": rollups.hvac_daily_summary}
 
 
 def test_reports_equal_the_batch_reports(spark, tmp_path):
@@ -65,7 +67,7 @@ def test_reports_equal_the_batch_reports(spark, tmp_path):
     for period in (stages.DAY, stages.MONTH):
         root = str(tmp_path / f"out-{period}")
         stages.start_reports(stream, P.HVAC, root, f"{root}/cp", REPORTS, period).awaitTermination()
-        for name, report in REPORTS.items():
+        for name, report in BATCH_REPORTS.items():
             expected = report(batch_form(batch))
             assert expected.where("dt = '2026-01-07'").count() > 0
             assert same(tables.scan(spark, f"{root}/{name}").drop(stages.PERIOD), expected)
@@ -109,3 +111,84 @@ def test_graded_stream_with_quarantine(spark, tmp_path):
     critical = expected.where("data_quality_flag = 'critical'").count()
     assert tables.scan(spark, f"{root}/validated").count() == expected.count()
     assert tables.scan(spark, f"{root}/quarantine").count() == critical > 0
+
+
+def feed(spark, tmp_path, *days, fresh=0):
+    """Add one file of readings to a stream's folder, and read it as a stream."""
+    rows = [
+        {"timestamp": f"{day} {n:02d}:{fresh:02d}:00", "dt": day, "equipment_id": f"u{n % 3}", "building_id": "B0"}
+        for day in days
+        for n in range(6)
+    ]
+    part = frame(spark, HVAC, *rows, clean=False)
+    part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+
+def all_rows(spark, tmp_path):
+    return batch_form(spark.read.parquet(str(tmp_path / "in")))
+
+
+def test_reports_need_only_their_own_batch_and_partials(spark, tmp_path):
+    root = str(tmp_path / "out")
+    daily = {"daily": partials.HVAC_DAILY}
+    for n in range(4):
+        stream = feed(spark, tmp_path, "2026-01-05", f"2026-02-{n + 1:02d}", fresh=n)
+        stages.start_reports(stream, P.HVAC, root, f"{root}/cp", daily).awaitTermination()
+        tables.drop(spark, f"{root}/silver")  # what came before is not read again
+        expected = rollups.hvac_daily_summary(all_rows(spark, tmp_path))
+        assert same(tables.scan(spark, f"{root}/daily").drop(stages.PERIOD), expected)
+    day = f"{root}/partials/daily/{stages.PERIOD}=2026-01-05"
+    (stream,) = tables.folder_values(spark, day, stages.STREAM)
+    # The last state and the one it was made from: a day does not collect folders.
+    assert sorted(tables.folder_values(spark, f"{day}/{stages.STREAM}={stream}", stages.NUMBER)) == ["00000002", "00000003"]
+
+
+def test_partials_read_the_periods_of_their_batch_only(spark, tmp_path):
+    path = str(tmp_path / "partials")
+    rows = batch_form(frame(spark, HVAC, *changes(), clean=False))
+    stages.add_partials(rows, partials.HVAC_DAILY, path, "s-00000000")
+    late = rows.where("dt = '2026-01-06'")
+    found = stages.add_partials(late, partials.HVAC_DAILY, path, "s-00000001")
+    assert all(f"{stages.PERIOD}=2026-01-06" in file for file in found.inputFiles())
+    twice = rollups.hvac_daily_summary(late.unionAll(late))
+    assert same(partials.HVAC_DAILY.report(found), twice)
+    # Again after a failure, and from another stream.
+    again = stages.add_partials(late, partials.HVAC_DAILY, path, "s-00000001")
+    assert same(partials.HVAC_DAILY.report(again), twice)
+    other = stages.add_partials(late, partials.HVAC_DAILY, path, "t-00000000")
+    assert same(partials.HVAC_DAILY.report(other), rollups.hvac_daily_summary(late.unionAll(late).unionAll(late)))
+
+
+def test_partials_of_pieces_merge_to_the_whole(spark):
+    rows = batch_form(frame(spark, HVAC, *changes(), {"dt": None}, {"building_id": None}, clean=False))
+    pieces = [rows.where(F.pmod(F.xxhash64("timestamp", "status_flag"), F.lit(3)) == n) for n in range(3)]
+    for name, kind in REPORTS.items():
+        merged = kind.partial(pieces[0])
+        for piece in pieces[1:]:
+            merged = kind.merged(merged.unionByName(kind.partial(piece)))
+        assert same(kind.report(merged), BATCH_REPORTS[name](rows)), name
+
+
+def test_deduplication_reads_the_days_of_its_batch_only(spark, tmp_path, monkeypatch):
+    root, read = str(tmp_path / "clean"), []
+    looked_up = stages.seen_keys
+
+    def watch(*args):
+        known = looked_up(*args)
+        read.append(known.inputFiles())
+        return known
+
+    monkeypatch.setattr(stages, "seen_keys", watch)
+    monkeypatch.setattr(stages, "KEY_FOLDERS", 3)
+    for n, day in enumerate(["2026-01-05", "2026-01-06", "2026-01-05", "2026-01-05", "2026-01-05", "2026-01-05"]):
+        stream = feed(spark, tmp_path, day, fresh=n % 4)
+        stages.start_deduplication(stream, P.HVAC, root, f"{root}-cp").awaitTermination()
+        assert all(f"{stages.KEY_DAY}={day}" in file for file in read[-1])
+        seen = cleaning.normalise(spark.read.parquet(str(tmp_path / "in")), P.HVAC).select(*P.HVAC.dedup_keys)
+        assert same(tables.scan(spark, root).select(*P.HVAC.dedup_keys), seen.distinct())
+    held = tables.folder_values(spark, f"{root}-keys/{stages.KEY_DAY}=2026-01-05", stages.BATCH)
+    assert any(value.startswith(stages.JOINED) for value in held) and len(held) <= 3
+    rows = cleaning.normalise(spark.read.parquet(str(tmp_path / "in")), P.HVAC).where("dt = '2026-01-05'")
+    plan = looked_up(rows, P.HVAC.dedup_keys, f"{root}-keys", "now")._jdf.queryExecution().toString()
+    assert "PushedFilters" in plan and f"GreaterThanOrEqual({stages.KEY_SECOND}" in plan
