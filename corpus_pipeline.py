@@ -31,9 +31,10 @@ LOW = 0.01
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     into, size = fresh(docs, "language"), fresh(docs, "length")
-    named = langid.identified(docs, into=into).withColumn(size, langid.gram_counts(F.col("text")))
+    grams = F.col(into)["grams"]
     # Lengths by powers of two: some 40 rows reach the driver.
-    named = kept(named.withColumn(size, F.floor(F.log2(F.greatest(F.col(size), F.lit(1))))), "language-scores")
+    named = langid.measured(docs, into=into).withColumn(size, F.floor(F.log2(F.greatest(grams, F.lit(1)))))
+    named = kept(named, "language-scores")
     own = named.where(F.col(into)["lang"] == F.col("lang")).groupBy(size)
     low = own.agg(F.percentile_approx(F.col(into)["score"], LOW).alias("low"))
     judged = [row[size] for row in low.where(F.col("low") >= LEAST_SCORE).collect()]

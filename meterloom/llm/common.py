@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 import meterloom
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+ARROW_ROWS, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 #: A word is a longest run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -69,6 +70,16 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(archive)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers BATCH_ROWS at a time from here on.
+
+    The JVM and the worker each hold a whole batch, several times over while it is
+    converted; Spark's 10,000 rows of text are tens of megabytes for each.
+    """
+    if int(spark.conf.get(ARROW_ROWS)) > BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, BATCH_ROWS)
+
+
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     ship(df.sparkSession)

@@ -18,15 +18,17 @@ language name. Repeated rows get equal answers; other columns are kept by
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meterloom.llm.common import mapped, ship
+from meterloom.llm.common import fresh, mapped, ship, small_batches
+from meterloom.llm.terms import body_portions
 
 UNKNOWN = "und"
 DIMENSIONS, N, SEED = 1024, 3, 7
@@ -68,7 +70,7 @@ def grams(text: str) -> Iterator[np.ndarray]:
         carry = line[-(N - 1) :]
 
 
-@cache
+@lru_cache(1 << 12)
 def letter_vector(point: int) -> np.ndarray:
     bits = np.random.Generator(np.random.PCG64([SEED, point])).integers(0, 2, DIMENSIONS, dtype=np.int8)
     return bits * 2 - 1
@@ -104,12 +106,17 @@ class Space:
             total += counts[at : at + 4096].astype(np.float32) @ self.vectors[index].astype(np.float32)
         return total
 
-    def document(self, text: str | None) -> np.ndarray | None:
-        """The document's vector, or None without letters."""
+    def measure(self, text: str | None) -> tuple[np.ndarray, int]:
+        """The document's vector, and how many n-grams it is the sum of."""
         total, seen = np.zeros(DIMENSIONS, np.float64), 0
         for keys in grams(text or ""):
             total += self.bundle(keys)
             seen += len(keys)
+        return total, seen
+
+    def document(self, text: str | None) -> np.ndarray | None:
+        """The document's vector, or None without letters."""
+        total, seen = self.measure(text)
         return total if seen else None
 
 
@@ -118,17 +125,6 @@ def space() -> Space:
     return Space()
 
 
-def gram_counts(text: Column) -> Column:
-    """n-grams of each text."""
-
-    @F.pandas_udf("bigint")
-    def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([sum(len(keys) for keys in grams(body or "")) for body in part], dtype="int64")
-
-    return count(text.cast("string"))
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -213,3 +209,45 @@ def identified(
     ship(docs.sparkSession)
     predict = predictor(prototypes(labelled, text, lang, doc_id, train_docs))
     return docs.withColumn(into, predict(F.col(text).cast("string")))
+
+
+def measured(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    train_docs: int = 200_000,
+    into: str = "language",
+) -> DataFrame:
+    """``docs`` with struct ``into`` (lang, score, grams: the text's n-grams), learned as
+    :func:`identified` learns, in one pass over the texts.
+
+    Texts come and go in small portions, and n-gram vectors go with the task that made them.
+    """
+    small_batches(docs.sparkSession)
+    model = prototypes(docs.where(~held_out(F.col(doc_id))), text, lang, doc_id, train_docs)
+    names = sorted(model)
+    matrix = np.array([model[name] / (np.linalg.norm(model[name]) or 1) for name in names], np.float32)
+    body = fresh(docs, "body")
+    kind = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("grams", T.LongType())])
+
+    def answer(vector: np.ndarray, grams_: int) -> dict:
+        if not grams_ or not names:
+            return {"lang": UNKNOWN, "score": 0.0, "grams": grams_}
+        cosines = matrix @ (vector / (np.linalg.norm(vector) or 1)).astype(np.float32)
+        best = int(np.argmax(cosines))
+        return {"lang": names[best], "score": float(min(1.0, max(0.0, cosines[best]))), "grams": grams_}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Space()
+        fields = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("grams", pa.int64())])
+        for batch in batches:
+            at = batch.schema.get_field_index(body)
+            rest = batch.drop_columns([body])
+            for row, bodies in body_portions(batch, at):
+                found = [answer(*own.measure(text_.decode())) for text_ in bodies]
+                part = rest.slice(row, len(bodies))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, fields)], [*part.schema.names, into])
+
+    encoded = docs.withColumn(body, F.encode(F.col(text).cast("string"), "UTF-8"))
+    return mapped(encoded, measure, T.StructType([*docs.schema.fields, T.StructField(into, kind)]))
