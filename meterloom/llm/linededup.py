@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import fresh, kept, mapped, ship
+from meterloom.llm.common import fresh, kept, mapped, ship, small_batches
 
 #: ASCII white space that is stripped from both ends of a key.
 BLANK = " \t\n\x0b\x0c\r"
@@ -125,6 +125,7 @@ class LineRuns:
 
 def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout: int, least_chars: int, least_docs: int) -> DataFrame:
     """doc_id and the list of keys whose lines the document loses."""
+    small_batches(docs.sparkSession)
     lines = line_keys(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")), least_chars)
     lines = kept(lines, "line-keys")
     runs = LineRuns(docs.sparkSession, fanout)

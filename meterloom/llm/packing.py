@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import mapped
+from meterloom.llm.common import mapped, small_batches
 from meterloom.llm.tokens import portions, word_ids
 
 #: Partially filled windows a task keeps open.
@@ -146,6 +146,7 @@ def packed(
 ) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
