@@ -6,16 +6,19 @@ from being computed, without losing a link:
 
 * Columns are ordered from rare to common. A pair over the threshold shares ``k`` of the
   first ``size - least overlap + k`` columns of both rows; the rest stays out. ``k`` is a
-  share of the size, so rows that meet others in fewer columns leave too. Of the
-  row whose front ends first, every front column that the other lacks is a loss for certain,
-  which bounds a pair's overlap by the columns they share at the front.
+  share of the size, so rows that meet others in fewer columns leave too.
 * A pair whose sizes differ by more than the threshold allows is left out.
 
-Only columns with two rows or more make blocks. Every block first multiplies its rows
+Only columns with two rows or more count. Every such column first multiplies its rows
 with one row of its own, the hub; rows that turn out linked are one component and need
-no product with each other. What is left, pairs of rows in different components that share
-a column, is multiplied in full: overlaps are accumulated over the whole sets, so the
-result does not depend on hashing order, hubs or the column order.
+no product with each other. What is left are rows of different components that share
+a column. They are dealt into tiles of some hundred rows, alike ones together, and the product is
+taken block by block: a task gets the whole sets of the rows that two tiles have to
+multiply, accumulates the overlaps of all their pairs in a matrix, drops those below the
+bound, and puts out a spanning forest of the links. No pair is ever a row of a table: what
+crosses the network is rows by tiles, so a group of ``g`` alike rows sends g * g / tile rows. As
+overlaps are of whole sets, the result does not depend on hashing order, hubs, tiles or
+the column order.
 
 Rows of equal sets are collapsed before and expanded after, so copies cost nothing.
 
@@ -36,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.arrays import flat, lists, mixed, shingles
-from meterloom.llm.common import fresh, kept, mapped
+from meterloom.llm.common import fresh, kept, mapped, small_batches
 
 #: Columns that every task can tell as common: 16 bytes each, the most frequent ones.
 #: Which columns these are changes the order, hence the work, and never the links.
@@ -47,8 +50,12 @@ COMMON_FROM = 8
 SPARE = 20
 #: Rounds in which rows with too few shared columns leave.
 PEELS = 2
-#: Hubs that a block tries before its remaining pairs are listed.
+#: Hubs that a column tries before its remaining rows are dealt into tiles.
 HUBS = 4
+#: Rows of a tile, and shingles of all its rows, on average.
+TILE_ROWS, TILE_CELLS = 512, 1 << 20
+#: Columns of a block that are in one dense matrix.
+DENSE = 4096
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -164,6 +171,108 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return mapped(both, multiply, f"x {kind}, y {kind}")
 
 
+def tile_visits(cells: DataFrame, percent: int) -> DataFrame:
+    """low, high, node, component: the rows that each pair of tiles has to multiply.
+
+    Of ``cells`` (shingle, node, size, component), a row's tile is a share of the rows whose most
+    crowded column is the same. A row visits the tiles that hold, in one of its columns, a
+    row of another component and of a size that could be linked.
+    """
+    crowds = cells.groupBy("shingle").agg(F.count("*").alias("met"))
+    homes = (
+        cells.join(crowds, "shingle")
+        .groupBy("node", "size")
+        .agg(F.max(F.struct("met", "shingle")).alias("crowd"))
+        .select("node", "size", F.col("crowd.shingle").alias("crowd"))
+    )
+    parts = homes.groupBy("crowd").agg(
+        F.greatest(F.ceil(F.count("*") / TILE_ROWS), F.ceil(F.sum("size") / TILE_CELLS)).alias("parts")
+    )
+    tile = F.xxhash64("crowd", F.pmod(F.xxhash64("node"), "parts"))
+    placed = kept(cells.join(homes.join(parts, "crowd").select("node", tile.alias("tile")), "node"), "overlap-placed")
+    held = placed.groupBy("shingle", F.col("tile").alias("other")).agg(
+        F.min("size").alias("least"),
+        F.max("size").alias("most"),
+        F.min("component").alias("first"),
+        F.max("component").alias("last"),
+    )
+    visits = placed.join(held, "shingle").where(
+        ((F.col("first") != F.col("component")) | (F.col("last") != F.col("component")))
+        & (100 * F.col("most") >= percent * F.col("size"))
+        & (100 * F.col("size") >= percent * F.col("least"))
+    )
+    ends = (F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    return visits.select(*ends, "node", "component").distinct()
+
+
+def block_links(rows: list[np.ndarray], components: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the linked pairs among ``rows``, sets that are sorted, of a block."""
+    n, size = len(rows), np.array([len(row) for row in rows], np.int64)
+    _, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), size)
+    # A column of one row adds nothing to the product.
+    number = np.cumsum(times > 1) - 1
+    use = times[column] > 1
+    row, column = row[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    overlap = np.zeros((n, n), np.float64)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for at in range(0, width, DENSE):
+        low, high = np.searchsorted(column, [at, at + DENSE])
+        part = np.zeros((n, min(DENSE, width - at)), np.float32)
+        part[row[low:high], column[low:high] - at] = 1
+        overlap += part @ part.T
+    linked = 100 * overlap >= percent * (size[:, None] + size - overlap)
+    linked &= components[:, None] != components
+    forest, seen = [], np.zeros(n, bool)
+    for start in np.flatnonzero(linked.any(1)).tolist():
+        stack = [] if seen[start] else [start]
+        seen[start] = True
+        while stack:
+            x = stack.pop()
+            new = np.flatnonzero(linked[x] & ~seen).tolist()
+            seen[new] = True
+            forest += [(x, y) for y in new]
+            stack += new
+    return forest
+
+
+def block_products(visits: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (x, y) that connect what the linked pairs of all blocks connect."""
+    rows = visits.join(sets, "node").select("low", "high", "node", "component", "row")
+    rows = rows.repartition("low", "high").sortWithinPartitions("low", "high")
+
+    def multiply(batches: Rows) -> Rows:
+        nodes: list = []
+        components: list = []
+        values: list[np.ndarray] = []
+        block, kind = None, None
+
+        def out() -> pa.RecordBatch:
+            _, component = np.unique(np.array(components, dtype=object), return_inverse=True)
+            pairs = block_links(values, component, percent) if len(values) > 1 else []
+            ends = [pa.array([nodes[pair[k]] for pair in pairs], kind) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(ends, ["x", "y"])
+
+        for batch in batches:
+            kind = batch.schema.field(2).type
+            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for key, node, component, row in zip(keys, *(batch.column(k) for k in (2, 3, 4)), strict=True):
+                if key != block:
+                    if len(nodes) > 1:
+                        yield out()
+                    nodes, components, values, block = [], [], [], key
+                nodes.append(node.as_py())
+                components.append(component.as_py())
+                values.append(np.frombuffer(row.as_py(), np.uint64))
+        if len(nodes) > 1:
+            yield out()
+
+    kind = visits.schema["node"].dataType.simpleString()
+    return mapped(rows, multiply, f"x {kind}, y {kind}")
+
+
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:
     """node, component (the smallest node that links reach), for nodes with a link.
 
@@ -204,6 +313,7 @@ def near_components(
 
     if percent * SPARE < 100:
         raise ValueError(f"percent must be at least {-(-100 // SPARE)}, not {percent}")
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), _body(text).alias("body"))
     marked = kept(marked_rows(docs, n, least, common_columns(docs, n)), "overlap-marked")
     signed = marked.select("doc_id", "size", "a", "b")
@@ -278,20 +388,10 @@ def near_components(
     open_cells = labelled()
     split = open_cells.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = kept(open_cells.join(split.select("shingle"), "shingle"), "overlap-open")
-    one, two = rest.alias("one"), rest.alias("two")
-    met = one.join(
-        two,
-        (F.col("one.shingle") == F.col("two.shingle"))
-        & (F.col("one.node") < F.col("two.node"))
-        & (F.col("one.component") != F.col("two.component"))
-        & close(F.col("one.size"), F.col("two.size")),
-    ).groupBy(F.col("one.node").alias("x"), F.col("two.node").alias("y"))
-    met = met.agg(F.count("*").alias("met"), F.min("one.size").alias("a"), F.min("two.size").alias("b"))
-    # Whichever front ends first: overlap <= size - (front - met), and front = size - inner.
-    inner = lambda size: F.ceil(size * percent / 100) - F.greatest(F.lit(1), F.floor(size / SPARE))
-    needed = F.ceil((F.col("a") + F.col("b")) * percent / (100 + percent))
-    reach = F.greatest(inner(F.col("a")), inner(F.col("b"))) + F.col("met")
-    test(met.where(reach >= needed).select("x", "y"))
+    links = kept(block_products(tile_visits(rest, percent), sets, percent), "overlap-links")
+    if links.limit(1).count():
+        found.append(links)
+        labels = components(reduce(DataFrame.union, found), "overlap-components")
     named = rows.select("size", "a", "b", "node")
     if labels is not None:
         named = named.join(labels, "node", "left")
@@ -309,12 +409,22 @@ def near_components(
 def one_of_each(
     docs: DataFrame, n: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``docs`` without near copies: of every component the rows of its smallest id stay.
+    """``docs`` without near copies: of every component one row stays, that of the smallest id.
 
-    Rows without id stay. Of rows that share the smallest id and the text, all stay: they
-    cannot be told apart by id.
+    Where ids are missing or occur twice, rows are told apart by a number of their own, so
+    copies under one id or none leave all the same, and no row goes for another one's
+    id; a row without id stays only where its component has no other.
     """
-    groups = near_components(docs, n, percent, doc_id, text)
-    name = fresh(docs, "overlap_id")
-    losers = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(losers, docs[doc_id] == losers[name], "left_anti")
+    count = docs.agg(F.count("*").alias("rows"), F.count_distinct(doc_id).alias("ids")).first()
+    if count["rows"] == count["ids"]:
+        groups = near_components(docs, n, percent, doc_id, text)
+        name = fresh(docs, "overlap_id")
+        losers = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(name))
+        return docs.join(losers, docs[doc_id] == losers[name], "left_anti")
+    name = fresh(docs, "overlap_row")
+    rows = kept(docs.withColumn(name, F.monotonically_increasing_id()), "overlap-numbered")
+    groups = near_components(rows, n, percent, name, text).select(F.col("doc_id").alias("number"), "component_id")
+    named = rows.select(F.col(name).alias("number"), F.col(doc_id).alias("of")).join(groups, "number")
+    rank = F.struct(F.col("of").isNull().alias("none"), "of", "number")
+    stay = named.groupBy("component_id").agg(F.min(rank)["number"].alias(name)).select(name)
+    return rows.join(stay, name, "left_semi").select(*docs.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 import zlib
 from collections import Counter
@@ -87,6 +88,64 @@ def test_stages_keep_columns_and_rows(docs, nothing, twice):
             assert stage(table).count() >= 0
 
 
+def test_one_of_each_by_rows(spark):
+    """Ids that are missing or occur twice: one row of each group stays, and no other text goes."""
+    rng = random.Random(9)
+    a, b = corpus.prose(rng, 60), corpus.prose(rng, 60)
+    rows = [(1, a), (5, a), (5, b), (None, a), (7, a), (1, a), (None, "no other"), (3, ""), (3, None)]
+    frame = corpus.frame(spark, [(i, t, None, None, k, None, "k", "l", "m", "n") for k, (i, t) in enumerate(rows)])
+    found = [(r["doc_id"], r["text"]) for r in overlap.one_of_each(frame).collect()]
+    assert sorted(found, key=str) == sorted([(1, a), (5, b), (None, "no other"), (3, ""), (3, None)], key=str)
+
+
+@pytest.mark.parametrize("rows,tile", [(40, 512), (40, 5), (300, 64)])
+def test_tiles_of_a_dense_group(spark, monkeypatch, rows, tile):
+    """A group of alike texts, linked or not, in several tiles, against brute force."""
+    monkeypatch.setattr(overlap, "TILE_ROWS", tile)
+    rng = random.Random(rows)
+    base = corpus.prose(rng, 70).split()
+    texts = []
+    for _ in range(rows):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(len(words))] = corpus.prose(rng, 1)
+        texts.append(" ".join(words))
+    data = [(i, t, None, None, i, None, "k", "l", "m", "n") for i, t in enumerate(texts)]
+    found = overlap.near_components(corpus.frame(spark, data), 3, 90).collect()
+    want = brute.near_components(list(enumerate(texts)), 3, 90)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    assert len({c for _, c in want.values()}) > 3
+
+
+def test_block_links_is_a_forest():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 40, 30).astype(np.uint64)) for _ in range(50)]
+    components = rng.integers(0, 12, 50)
+    found = overlap.block_links(sets, components, 50)
+    links = [
+        (i, j)
+        for i in range(50)
+        for j in range(i)
+        if components[i] != components[j]
+        and 100 * len(np.intersect1d(sets[i], sets[j])) >= 50 * len(np.union1d(sets[i], sets[j]))
+    ]
+
+    def roots(pairs):
+        parent = list(range(50))
+
+        def root(k):
+            while parent[k] != k:
+                k = parent[k]
+            return k
+
+        for x, y in pairs:
+            x, y = root(x), root(y)
+            parent[max(x, y)] = min(x, y)
+        return [root(k) for k in range(50)]
+
+    assert roots(found) == roots(links) and len(found) == 50 - len(set(roots(links)))
+
+
 def test_language_learns_and_predicts(docs):
     found = {r["doc_id"]: r["found"] for r in langid.identified(docs, into="found").collect()}
     for i, text in enumerate(corpus.texts()):
