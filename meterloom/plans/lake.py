@@ -12,9 +12,11 @@ import re
 import uuid
 from collections import defaultdict
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from meterloom.presets import Dataset
 from meterloom.sources import landing, tables
 from meterloom.sources.ledger import Ledger, id_list, new_ids
 
+#: Rounds of landing files that are landed at the same time.
+ROUNDS = 8
 #: Runs of a level that compaction joins.
 FANOUT = 2
 
@@ -120,10 +124,19 @@ def _land_planned(lake: Lake, dataset: Dataset) -> list[str]:
     """
     open_files = _planned(lake, dataset).join(lake.files(dataset).ids(), "path", "left_anti").persist()
     run_ids = sorted(row[RUN_ID] for row in open_files.select(RUN_ID).distinct().collect())
-    # The plan is read once; a run's files are a filter on what is open of it.
-    for run_id in run_ids:
+
+    @inheritable_thread_target(lake.spark)
+    def land(run_id: str) -> None:
+        # The plan is read once; a run's files are a filter on what is open of it.
         land_files(lake, open_files.where(F.col(RUN_ID) == run_id).select("path"), dataset, run_id)
+
+    # Runs write folders of their own, so their jobs fill the cluster together. One that
+    # fails does not stop the others; its error is raised when all have ended.
+    with ThreadPoolExecutor(max(1, min(ROUNDS, len(run_ids)))) as pool:
+        landings = [pool.submit(land, run_id) for run_id in run_ids]
     open_files.unpersist()
+    for landing_ in landings:
+        landing_.result()
     return run_ids
 
 

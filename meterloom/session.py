@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,15 +66,19 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return waves * cores
 
 
+_INFERENCE = threading.RLock()
+
+
 @contextlib.contextmanager
 def text_partition_values(spark: SparkSession):
     """Resolve a read with partition values kept as text, whatever the session says."""
-    before = spark.conf.get(INFERENCE)
-    spark.conf.set(INFERENCE, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(INFERENCE, before)
+    with _INFERENCE:
+        before = spark.conf.get(INFERENCE)
+        spark.conf.set(INFERENCE, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(INFERENCE, before)
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:

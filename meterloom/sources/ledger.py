@@ -7,6 +7,7 @@ replaced (see ``append_runs``), nothing is doubled.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 from meterloom.sources.tables import scan
 
 
+_APPEND = threading.Lock()
+
+
 class Ledger:
     """The ids processed by one stage."""
 
@@ -57,8 +61,13 @@ class Ledger:
         return ids.withColumn("committed_at", F.current_timestamp())
 
     def commit(self, ids: DataFrame) -> None:
-        """Add ids, with whatever columns are to be kept beside them."""
-        self._entries(ids).write.mode("append").parquet(self.path)
+        """Add ids, with whatever columns are to be kept beside them.
+
+        Appends of one driver take turns: jobs that append to a folder at the same time share
+        their temporary files.
+        """
+        with _APPEND:
+            self._entries(ids).write.mode("append").parquet(self.path)
 
     def commit_values(self, values: Sequence[str]) -> None:
         rows = self.spark.createDataFrame([(v,) for v in values], f"{self.id_column} string")

@@ -264,6 +264,34 @@ def joinable(lake, tmp_path, runs=2):
     L.refresh_gold(lake)
 
 
+def test_rounds_land_together_and_the_plan_is_read_once(spark, lake, tmp_path, monkeypatch):
+    for n in range(10):
+        put(tmp_path, day(), f"f{n}", at(n))
+    together, most, read = [], [], []
+    land, planned = L.land_files, L._planned
+
+    def watched(*args):
+        together.append(1)
+        most.append(len(together))
+        try:
+            land(*args)
+        finally:
+            together.pop()
+
+    monkeypatch.setattr(L, "land_files", watched)
+    monkeypatch.setattr(L, "_planned", lambda *args: read.append(1) or planned(*args))
+    runs = L.ingest(lake, landing_root(tmp_path), P.HVAC, max_files=2)
+    assert len(runs) >= 3 and max(most) > 1
+    assert len(read) == 3  # what is open before, what is new, what is planned now
+    assert rows_of(lake.finished("bronze", P.HVAC), "timestamp") == [(at(n)["timestamp"],) for n in range(10)]
+    assert lake.files(P.HVAC).ids().count() == 10
+    (tmp_path / "landing" / day() / "bad.parquet").write_bytes(b"no parquet")
+    put(tmp_path, day(), "good", at(30))
+    with pytest.raises(RuntimeError, match="bad.parquet"):
+        L.ingest(lake, landing_root(tmp_path), P.HVAC, max_files=1)
+    assert lake.files(P.HVAC).ids().count() in (10, 11)
+
+
 class Died(Exception):
     pass
 
