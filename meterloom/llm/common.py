@@ -42,14 +42,30 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as a table of the shared folder and read it back.
 
     Cuts the lineage and computes ``df`` once (``checkpoint()`` would do so twice).
-    The table is deleted when the driver ends.
+    The table is deleted when it is released, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_at = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete tables that :func:`kept` wrote; all that is computed from them must be written.
+
+    The shuffle files behind them go as well, once the driver's JVM collects its garbage,
+    which a driver with little to do puts off for half an hour.
+    """
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.kept_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        context._jvm.System.gc()
 
 
 @functools.cache

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import fresh, kept, mapped, ship, small_batches
+from meterloom.llm.common import fresh, kept, mapped, released, ship, small_batches
 
 #: ASCII white space that is stripped from both ends of a key.
 BLANK = " \t\n\x0b\x0c\r"
@@ -68,13 +68,16 @@ class LineRuns:
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
         self.spark, self.fanout = spark, fanout
         self.levels: list[list[DataFrame]] = [[]]
+        self.written: list[DataFrame] = []
 
     @property
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def _sorted(self, rows: DataFrame) -> DataFrame:
-        return kept(rows.repartitionByRange("key").sortWithinPartitions("key"), "line-run")
+        run = kept(rows.repartitionByRange("key").sortWithinPartitions("key"), "line-run")
+        self.written.append(run)
+        return run
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
         every = runs[0]
@@ -103,6 +106,7 @@ class LineRuns:
             new = counted.join(known, "key", "left_anti").withColumn("fresh", F.lit(True))
             old = counted.join(known, "key", "left_semi").withColumn("fresh", F.lit(False))
             run = self._sorted(new.union(old))
+            released(counted)
         else:
             run = self._sorted(counted.withColumn("fresh", F.lit(True)))
         self.levels[0].append(run)
@@ -122,6 +126,11 @@ class LineRuns:
         """key, docs, largest over all batches."""
         return self._merged(self.runs).drop("fresh")
 
+    def close(self) -> None:
+        """Delete all runs; what was computed from them must be written."""
+        released(*self.written)
+        self.written, self.levels = [], [[]]
+
 
 def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout: int, least_chars: int, least_docs: int) -> DataFrame:
     """doc_id and the list of keys whose lines the document loses."""
@@ -134,7 +143,10 @@ def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout:
         runs.add(part.distinct())
     repeated = runs.totals().where(F.col("docs") >= least_docs).select("key", "largest")
     hits = lines.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("largest")))
-    return hits.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    keys = kept(hits.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "line-dropped")
+    runs.close()
+    released(lines)
+    return keys
 
 
 def _stripped(least_chars: int):

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.arrays import flat, lists, mixed, shingles
-from meterloom.llm.common import fresh, kept, mapped, small_batches
+from meterloom.llm.common import fresh, kept, mapped, released, small_batches
 
 #: Columns that every task can tell as common: 16 bytes each, the most frequent ones.
 #: Which columns these are changes the order, hence the work, and never the links.
@@ -171,8 +171,9 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return mapped(both, multiply, f"x {kind}, y {kind}")
 
 
-def tile_visits(cells: DataFrame, percent: int) -> DataFrame:
-    """low, high, node, component: the rows that each pair of tiles has to multiply.
+def tile_visits(cells: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """low, high, node, component: the rows that each pair of tiles has to multiply; and the
+    table that this is computed from.
 
     Of ``cells`` (shingle, node, size, component), a row's tile is a share of the rows whose most
     crowded column is the same. A row visits the tiles that hold, in one of its columns, a
@@ -202,7 +203,7 @@ def tile_visits(cells: DataFrame, percent: int) -> DataFrame:
         & (100 * F.col("size") >= percent * F.col("least"))
     )
     ends = (F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-    return visits.select(*ends, "node", "component").distinct()
+    return visits.select(*ends, "node", "component").distinct(), placed
 
 
 def block_links(rows: list[np.ndarray], components: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -330,6 +331,7 @@ def near_components(
     # The smallest linked set of a row has ``least`` of its size.
     smallest = F.ceil(F.col("size") * percent / 100)
     shared = F.greatest(F.lit(1), F.floor(smallest / SPARE))
+    peeled: list[DataFrame] = []
     for _ in range(PEELS):
         blocks = (
             cells.groupBy("shingle")
@@ -338,15 +340,19 @@ def near_components(
             .select("shingle")
         )
         cells = kept(cells.join(blocks, "shingle", "left_semi"), "overlap-cells")
+        peeled.append(cells)
         full = cells.groupBy("node", "size").agg(F.count("*").alias("met")).where(F.col("met") >= shared)
         cells = cells.join(full.select("node", "size"), ["node", "size"], "left_semi").select("shingle", "node", "size")
     cells = kept(cells, "overlap-cells")
+    signed = kept(signed, "overlap-signed")
+    released(marked, *peeled)
     wanted = cells.select("node").distinct()
     sets = kept(full_sets(docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi"), n), "overlap-sets")
 
     close = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     found: list[DataFrame] = []
     tried: list[DataFrame] = []
+    opened: list[DataFrame] = []
     labels: DataFrame | None = None
 
     def labelled() -> DataFrame:
@@ -370,6 +376,7 @@ def near_components(
 
     for k in range(HUBS):
         open_cells = kept(labelled(), "overlap-open")
+        opened.append(open_cells)
         rank = F.struct(F.xxhash64("node", F.lit(k)) if k else F.lit(0).cast("long"), "node", "size", "component")
         hubs = (
             open_cells.groupBy("shingle")
@@ -388,7 +395,10 @@ def near_components(
     open_cells = labelled()
     split = open_cells.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = kept(open_cells.join(split.select("shingle"), "shingle"), "overlap-open")
-    links = kept(block_products(tile_visits(rest, percent), sets, percent), "overlap-links")
+    released(cells, *tried, *opened)
+    visits, placed = tile_visits(rest, percent)
+    links = kept(block_products(visits, sets, percent), "overlap-links")
+    released(rest, placed, sets)
     if links.limit(1).count():
         found.append(links)
         labels = components(reduce(DataFrame.union, found), "overlap-components")
