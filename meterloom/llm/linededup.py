@@ -1,14 +1,18 @@
 """Line deduplication with levelled sorted runs of line hashes.
 
 Documents come in batches. A batch's line keys are reduced to one row each (documents
-that hold it, largest id) and merge-anti-joined with the runs so far, which splits them
-into keys never seen before and keys seen again; both become one new sorted run of level 0. When
-a level has ``fanout`` runs, they are merged into one run of the next level, so every key
-is rewritten once per level and a batch meets few runs. All runs together give each key's
-totals.
+that hold it, largest id) and merge-anti-joined with the runs so far: keys that no run has
+become the batch's own run, keys that one has become a count beside it. So a key is
+new in exactly one run, and its total is that row and its counts from later batches. When a
+level has ``fanout`` runs, they are merged into one run of the next level, so every key
+is rewritten once per level and a batch meets few runs. The number of batches is a
+parameter, not a share of the input: each batch reads the keys of the runs, and with a fixed
+number that stays in proportion to the input.
 
 A document enters the runs with its distinct keys only, so a key that a third of all documents
-holds is summed in the map tasks. Lost executors are harmless: runs are
+holds is summed in the map tasks. To find the documents that lose a line, keys of at least one
+:data:`HOT`-th of all rows (there can be no more than that many) are broadcast, and their rows
+shuffled by document; the other keys are joined by key. Lost executors are harmless: runs are
 tables of the shared folder.
 
 Defined cases: a null or empty text is one empty line and gives an empty text; lines
@@ -32,6 +36,10 @@ from meterloom.llm.common import fresh, kept, mapped, released, ship, small_batc
 #: ASCII white space that is stripped from both ends of a key.
 BLANK = " \t\n\x0b\x0c\r"
 LEAST_CHARS, LEAST_DOCS = 20, 3
+#: Batches and runs of a level: two batches meet merged runs.
+BATCHES, FANOUT = 5, 3
+#: Most keys that are broadcast.
+HOT = 4_096
 
 Rows = Iterator[pa.RecordBatch]
 
@@ -63,52 +71,46 @@ def line_keys(docs: DataFrame, least_chars: int) -> DataFrame:
 
 
 class LineRuns:
-    """Sorted runs of (key, docs, largest, fresh): the state between batches."""
+    """Sorted runs of (key, docs, largest, fresh): the state between batches.
 
-    def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
+    ``fresh`` marks the keys that no earlier batch held, each in one run; the other rows
+    are what later batches add to them.
+    """
+
+    def __init__(self, spark: SparkSession, fanout: int = FANOUT) -> None:
         self.spark, self.fanout = spark, fanout
         self.levels: list[list[DataFrame]] = [[]]
-        self.written: list[DataFrame] = []
+        self.merged: list[DataFrame] = []
 
     @property
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _sorted(self, rows: DataFrame) -> DataFrame:
-        run = kept(rows.repartitionByRange("key").sortWithinPartitions("key"), "line-run")
-        self.written.append(run)
-        return run
-
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
+    def _every(self, runs: list[DataFrame]) -> DataFrame:
         every = runs[0]
         for run in runs[1:]:
             every = every.union(run)
-        return every.groupBy("key").agg(
-            F.sum("docs").alias("docs"),
-            F.max("largest").alias("largest"),
-            F.max("fresh").alias("fresh"),
-        )
+        return every
 
     def add(self, keys: DataFrame) -> DataFrame:
         """Enter a batch of (doc_id, key), distinct per document; returns its run.
 
-        ``fresh`` marks the keys that no earlier batch held.
+        Runs that were merged are deleted by the next call.
         """
+        released(*self.merged)
+        self.merged = []
         counted = keys.groupBy("key").agg(
             F.count("*").alias("docs"), F.max("doc_id").alias("largest")
         )
-        seen = self.runs
-        if seen:
-            known = seen[0].select("key")
-            for run in seen[1:]:
-                known = known.union(run.select("key"))
-            counted = kept(counted, "line-batch")
-            new = counted.join(known, "key", "left_anti").withColumn("fresh", F.lit(True))
-            old = counted.join(known, "key", "left_semi").withColumn("fresh", F.lit(False))
-            run = self._sorted(new.union(old))
-            released(counted)
+        if self.runs:
+            known = self._every(self.runs).where("fresh").select("key", F.lit(False).alias("fresh"))
+            rows = counted.join(known, "key", "left").select(
+                "key", "docs", "largest", F.coalesce("fresh", F.lit(True)).alias("fresh")
+            )
         else:
-            run = self._sorted(counted.withColumn("fresh", F.lit(True)))
+            rows = counted.withColumn("fresh", F.lit(True))
+        # Equal keys are in one task already, so sorting there costs no shuffle.
+        run = kept(rows.sortWithinPartitions("fresh", "key"), "line-run")
         self.levels[0].append(run)
         self._compact()
         return run
@@ -118,18 +120,42 @@ class LineRuns:
         while len(self.levels[level]) >= self.fanout:
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[level + 1].append(self._sorted(self._merged(self.levels[level])))
+            old = self.levels[level]
+            # Fresh rows are of different keys; what was added to one key becomes one row.
+            merged = self._every(old).groupBy("key", "fresh").agg(
+                F.sum("docs").alias("docs"), F.max("largest").alias("largest")
+            )
+            merged = merged.select("key", "docs", "largest", "fresh").sortWithinPartitions("fresh", "key")
+            self.levels[level + 1].append(kept(merged, "line-run"))
             self.levels[level] = []
+            self.merged += old
             level += 1
 
     def totals(self) -> DataFrame:
         """key, docs, largest over all batches."""
-        return self._merged(self.runs).drop("fresh")
+        every = self._every(self.runs)
+        later = every.where("NOT fresh").groupBy("key").agg(
+            F.sum("docs").alias("more"), F.max("largest").alias("later")
+        )
+        return every.where("fresh").join(later, "key", "left").select(
+            "key",
+            (F.col("docs") + F.coalesce("more", F.lit(0))).alias("docs"),
+            F.greatest("largest", "later").alias("largest"),
+        )
 
     def close(self) -> None:
         """Delete all runs; what was computed from them must be written."""
-        released(*self.written)
-        self.written, self.levels = [], [[]]
+        released(*self.runs, *self.merged)
+        self.levels, self.merged = [[]], []
+
+
+def holders(lines: DataFrame, repeated: DataFrame, rows: int) -> DataFrame:
+    """doc_id and key of ``lines`` for each key of ``repeated``, but for its largest document."""
+    hot = F.broadcast(repeated.where(F.col("docs") * HOT >= rows).select("key", "largest"))
+    rest = repeated.where(F.col("docs") * HOT < rows).select("key", "largest")
+    often = lines.join(hot, "key")
+    others = lines.join(hot.select("key"), "key", "left_anti").join(rest, "key")
+    return often.unionByName(others).where(~F.col("doc_id").eqNullSafe(F.col("largest"))).select("doc_id", "key")
 
 
 def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout: int, least_chars: int, least_docs: int) -> DataFrame:
@@ -141,11 +167,11 @@ def dropped_keys(docs: DataFrame, doc_id: str, text: str, batches: int, fanout:
     for batch in range(batches):
         part = lines.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == batch)
         runs.add(part.distinct())
-    repeated = runs.totals().where(F.col("docs") >= least_docs).select("key", "largest")
-    hits = lines.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("largest")))
-    keys = kept(hits.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "line-dropped")
+    repeated = kept(runs.totals().where(F.col("docs") >= least_docs), "line-repeated")
     runs.close()
-    released(lines)
+    hits = holders(lines, repeated, lines.count())
+    keys = kept(hits.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "line-dropped")
+    released(lines, repeated)
     return keys
 
 
@@ -165,8 +191,8 @@ def line_report(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    batches: int = 4,
-    fanout: int = 4,
+    batches: int = BATCHES,
+    fanout: int = FANOUT,
     least_chars: int = LEAST_CHARS,
     least_docs: int = LEAST_DOCS,
 ) -> DataFrame:
@@ -197,8 +223,8 @@ def without_repeats(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    batches: int = 4,
-    fanout: int = 4,
+    batches: int = BATCHES,
+    fanout: int = FANOUT,
     least_chars: int = LEAST_CHARS,
     least_docs: int = LEAST_DOCS,
 ) -> DataFrame:

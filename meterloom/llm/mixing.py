@@ -1,13 +1,13 @@
 """Mixing sources to target weights with hash-threshold histograms.
 
-Every document has a hash of its id. A source takes whole copies of all its
+Every document has a hash of its id (of its text if that is null). A source takes whole copies of all its
 documents, and one more copy of those whose hash is at most the source's threshold.
 The threshold comes from histograms of words by source and hash bucket: the bucket
 in which the budget ends is the only one that is split further, level by level, until
 it holds one hash value. Nothing is sorted and no document passes the driver.
 
 Defined cases: a null text has size 0; a null source is a source of its own; repeated
-ids share one hash and are taken together; a source of size 0 has target 0; an empty
+ids share one hash and are taken together, as do equal texts without id; a source of size 0 has target 0; an empty
 table gives an empty result. Extra columns are ignored by :func:`plan_mix` and kept
 by :func:`mixed`.
 """
@@ -27,8 +27,10 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def id_hash(doc_id: Column) -> Column:
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15)
+def id_hash(doc_id: Column, text: Column) -> Column:
+    """Hash of the id; of the text where there is no id, so that such rows are not all alike."""
+    body = F.concat(F.lit("\n"), F.coalesce(text.cast("string"), F.lit("")))
+    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), body).cast("binary")), 1, 15)
     return F.conv(digits, 16, 10).cast("long")
 
 
@@ -118,7 +120,7 @@ def mix_limits(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             words_in(F.col(text)).alias("size"),
-            id_hash(F.col(doc_id)).alias("hash"),
+            id_hash(F.col(doc_id), F.col(text)).alias("hash"),
         ),
         "mix-sizes",
     )
@@ -157,7 +159,7 @@ def mixed(
     limits = limits.select(
         F.col("source").alias(of), F.struct("copies", "threshold").alias(times)
     )
-    taken = F.col(times)["copies"] + (id_hash(F.col(doc_id)) <= F.col(times)["threshold"]).cast("long")
+    taken = F.col(times)["copies"] + (id_hash(F.col(doc_id), F.col(text)) <= F.col(times)["threshold"]).cast("long")
     repeats = F.when(taken > 0, F.sequence(F.lit(1), taken))
     return docs.join(limits, F.col(source).eqNullSafe(F.col(of))).select(
         *[docs[column] for column in docs.columns], F.explode(repeats).alias(copy)

@@ -273,6 +273,37 @@ def test_line_runs_are_levelled(spark):
     assert totals == {0: (1, 0), 1: (2, 1), 2: (3, 2), 3: (3, 3), 4: (3, 4), 5: (2, 4), 6: (1, 4)}
 
 
+def test_line_totals_rest_on_the_anti_join(spark):
+    runs = linededup.LineRuns(spark, fanout=2)
+    for batch in range(4):
+        keys = spark.createDataFrame([(batch, bytearray([k])) for k in (0, batch + 1)], "doc_id bigint, key binary")
+        runs.add(keys)
+        every = runs._every(runs.runs)
+        assert every.where("fresh").groupBy("key").count().where("count > 1").isEmpty()
+    # What three later batches added to key 0 is one row of a merged run.
+    assert every.where("NOT fresh").count() <= 2
+    assert {bytes(r["key"])[0]: r["docs"] for r in runs.totals().collect()} == {0: 4, 1: 1, 2: 1, 3: 1, 4: 1}
+    runs.close()
+
+
+def test_hot_lines_lose_the_same_rows(spark, monkeypatch):
+    lines = spark.createDataFrame([(d, bytearray([k])) for k in range(5) for d in range(3 + 20 * k)], "doc_id bigint, key binary")
+    repeated = lines.groupBy("key").agg(F.count("*").alias("docs"), F.max("doc_id").alias("largest"))
+    want = {(d, k) for k in range(5) for d in range(2 + 20 * k)}
+    for hot in (1, 3, 4096):
+        monkeypatch.setattr(linededup, "HOT", hot)
+        found = [(r["doc_id"], bytes(r["key"])[0]) for r in linededup.holders(lines, repeated, lines.count()).collect()]
+        assert len(found) == len(want) and set(found) == want
+
+
+def test_mix_without_ids_comes_near_its_target(spark):
+    rows = [(None, f"word{i} and three more", "ab"[i % 2]) for i in range(1_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.plan_mix(docs).groupBy("target").agg(F.sum("taken").alias("taken"))
+    assert len(got.collect()) == 2 and all(abs(r["taken"] - r["target"]) <= 4 for r in got.collect())
+    assert mixing.mixed(docs).count() * 4 == got.agg(F.sum("taken")).first()[0]
+
+
 @pytest.mark.parametrize("size", [16, 2048])
 def test_packing_round_trip(docs, size, monkeypatch):
     tokenizer = Tokenizer.from_file(WORDS)
