@@ -38,13 +38,15 @@ from meterloom.plans.lake import (
 )
 from meterloom.session import scratch_folder
 from meterloom.sources import landing, ledger, tables
-from meterloom.streaming import stages
+from meterloom.streaming import stages, watermarks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 #: Files a micro-batch takes; files may come in any order.
 FILES_PER_BATCH = 64
+#: Seconds that a reading may be behind the newest one: fifteen days.
+WATERMARK_DELAY = 15 * 86_400
 
 
 def query(function: Query) -> Query:
@@ -544,6 +546,16 @@ def stream_hvac_deduplicated(spark: SparkSession, d: str) -> DataFrame:
     return tables.scan(spark, f"{root}/table").select("timestamp", "equipment_id")
 
 
+@query
+def stream_hvac_watermarked(spark: SparkSession, d: str) -> DataFrame:
+    """Keys of the whole feed after deduplication under a watermark: those on time, which the
+    state store kept once, and those that only late readings hold."""
+    stream, root = _hvac_stream(spark, d), scratch_folder(spark, "stream-watermarked")
+    for name, start in (("judge", watermarks.start_judging), ("unique", watermarks.start_within_watermark)):
+        start(stream, P.HVAC, root, f"{root}/{name}-checkpoint", WATERMARK_DELAY).awaitTermination()
+    return watermarks.settled(stream, P.HVAC, root).select("timestamp", "equipment_id")
+
+
 @query
 def stream_utility_daily_summary(spark: SparkSession, d: str) -> DataFrame:
     rows = _stream(spark, d, views.UTILITY_RAW, "lineitem")

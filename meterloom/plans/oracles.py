@@ -470,6 +470,9 @@ ORACLES: dict[str, str] = {
     "stream_hvac_deduplicated": sql(
         """SELECT DISTINCT "timestamp", equipment_id FROM hvac_norm"""
     ),
+    "stream_hvac_watermarked": sql(
+        """SELECT DISTINCT "timestamp", equipment_id FROM hvac_norm"""
+    ),
     "lake_hvac_bronze": sql(
         """SELECT building_id, dt, count(*) AS readings, count(outdoor_air_temp) AS outdoor_readings,
         count(fault_code) AS fault_codes, count(DISTINCT equipment_id) AS raw_units
