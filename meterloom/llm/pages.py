@@ -10,7 +10,9 @@ else (menus, forms, notices, reader comments and the like) and hold no <article>
 page without these not most of what scores highly, are scored apart and lowered; they go unless they
 still pass.
 
-Pages are read one by one inside tasks; a page of any length is read in one pass.
+Pages are read one by one inside tasks; a page of any length is read in one pass. Paths are numbers,
+and what an element takes from those around it is noted once per element, so the time goes with the
+page's length and not with its depth.
 
 Defined cases: a null or empty page, or one without text, has an empty text; unclosed elements end
 with their parent or the page; a quote that does not follow "=" is an ordinary character, and a tag whose last
@@ -23,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import re
 import statistics
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -96,13 +99,27 @@ LOWERED = 0.05
 class Element:
     name: str
     parent: Element | None
-    path: str
+    #: Number of its path of block elements.
+    path: int
     unseen: bool
     named: bool
     block: bool
     #: Whether an article or main element is inside.
     holds: bool = False
     strong: bool = False
+    #: What :func:`settle` notes: an element around it (or itself) that names itself as something
+    #: else and holds no article; whether all of these, and whether an article around it, are strong.
+    aside: bool = False
+    excused: bool = True
+    covered: bool = False
+
+    def __post_init__(self) -> None:
+        parent = self.parent
+        self.leaf: Element = self if self.block or parent is None else parent.leaf
+        self.linked = not self.block and (self.name == "a" or (parent is not None and parent.linked))
+        self.heading = self.name in HEADINGS or (parent is not None and parent.heading)
+        on_path = self.block and self.name.startswith(("article", "main"))
+        self.in_article = on_path or (parent is not None and parent.in_article)
 
 
 @dataclass
@@ -112,31 +129,38 @@ class Block:
     links: int = 0
     text: str = ""
 
-    @property
-    def aside(self) -> list[Element]:
-        """The elements around it that name themselves as something else and hold no article."""
-        return [e for e in _around(self.element) if e.named and not e.holds]
-
-    @property
-    def heading(self) -> bool:
-        return any(at.name in HEADINGS for at in _around(self.element))
-
     @property
     def fits(self) -> bool:
         """Whether it may stand with strong blocks: few links, and no such name without strong text."""
-        return self.links <= LINKED * len(self.text) and all(e.strong for e in self.aside)
+        return self.links <= LINKED * len(self.text) and self.element.excused
 
     @property
-    def path(self) -> str:
+    def path(self) -> tuple[int, bool]:
         """What its score goes by: text under such a name is apart from other text on the same path."""
-        return self.element.path + "!" * bool(self.aside)
+        return self.element.path, self.element.aside
+
+
+def _elements(page: list[Block]) -> list[Element]:
+    """The elements around these blocks, each once, parents first."""
+    seen: set[Element] = set()
+    found: list[Element] = []
+    for block in page:
+        at, chain = block.element, []
+        while at is not None and at not in seen:
+            seen.add(at)
+            chain.append(at)
+            at = at.parent
+        found += reversed(chain)
+    return found
 
 
-def _around(element: Element | None) -> Iterator[Element]:
-    """The element and its parents."""
-    while element is not None:
-        yield element
-        element = element.parent
+def settle(elements: list[Element]) -> None:
+    """Note for each element what those around it say, as ``holds`` and ``strong`` are now."""
+    for at in elements:
+        up, other = at.parent, at.named and not at.holds
+        at.aside = other or (up is not None and up.aside)
+        at.excused = (not other or at.strong) and (up is None or up.excused)
+        at.covered = (at.strong and at.name in ("article", "main")) or (up is not None and up.covered)
 
 
 def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
@@ -159,8 +183,11 @@ def _marks(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
 
 def blocks(html: str) -> list[Block]:
     """The page's blocks with text, in page order."""
-    root = Element("", None, "", False, False, True)
+    root = Element("", None, 0, False, False, True)
     here, found = root, []
+    paths: dict[tuple[int, str], int] = {}
+    #: Open elements by name.
+    opened: Counter[str] = Counter()
     block = Block(root)
 
     def flush() -> None:
@@ -168,29 +195,28 @@ def blocks(html: str) -> list[Block]:
         block.text = " ".join(entities.unescape("".join(block.parts)).split())
         if block.text:
             found.append(block)
-        leaf = here
-        while not leaf.block and leaf.parent is not None:
-            leaf = leaf.parent
-        block = Block(leaf)
+        block = Block(here.leaf)
 
-    def close(names: set[str], until: set[str]) -> None:
+    def leave(last: Element) -> None:
+        """End this element and those inside it."""
         nonlocal here
-        at: Element | None = here
+        while here is not last.parent:
+            opened[here.name] -= 1
+            here = here.parent
+
+    def close(names: set[str], until: set[str]) -> None:
+        at: Element | None = here if any(opened[name] for name in names) else None
         while at is not None and at.parent is not None and at.name not in until:
             if at.name in names:
                 flush()
-                here = at.parent
+                leave(at)
             at = at.parent
 
     def text(part: str) -> None:
         if part:
             block.parts.append(part)
-            at: Element | None = here
-            while at is not None and not at.block:
-                if at.name == "a":
-                    block.links += len(part)
-                    break
-                at = at.parent
+            if here.linked:
+                block.links += len(part)
 
     place = 0
     while place < len(html):
@@ -212,16 +238,16 @@ def blocks(html: str) -> list[Block]:
             continue
         name = tag[2].lower()
         if tag[1]:
-            at: Element | None = here
+            at: Element | None = here if opened[name] else None
             while at is not None and at.name != name:
                 # An inline end tag does not reach over a block.
                 at = None if at.block and name not in BLOCKS else at.parent
             if at is not None and at.parent is not None:
                 if name in BLOCKS:
                     flush()
-                here = at.parent
+                leave(at)
                 if name in BLOCKS:
-                    block = Block(_leaf(here))
+                    block = Block(here.leaf)
             continue
         if name == "br":
             text(" ")
@@ -234,17 +260,17 @@ def blocks(html: str) -> list[Block]:
             flush()
         if name in VOID:
             continue
-        in_article = "/article" in here.path or "/main" in here.path
-        unseen, named = _marks(name, tag[3], in_article)
+        unseen, named = _marks(name, tag[3], here.in_article)
         is_block = name in BLOCKS or (unseen and not here.unseen) or named
         if is_block and name not in BLOCKS:
             flush()
-        path = f"{here.path}/{name}" if is_block else here.path
+        path = paths.setdefault((here.path, name), len(paths) + 1) if is_block else here.path
         if name in ("article", "main"):
-            for around in _around(here):
-                if around.holds:
-                    break
+            around: Element | None = here
+            while around is not None and not around.holds:
                 around.holds = True
+                around = around.parent
+        opened[name] += 1
         here = Element(name, here, path, here.unseen or unseen, named, is_block)
         if is_block:
             block = Block(here)
@@ -256,23 +282,17 @@ def blocks(html: str) -> list[Block]:
                 if name not in UNSEEN:
                     text(html[place : end.start()])
                 flush()
-                here = here.parent or root
-                block = Block(_leaf(here))
+                leave(here)
+                block = Block(here.leaf)
                 place = end.end()
     flush()
     return found
 
 
-def _leaf(element: Element) -> Element:
-    while not element.block and element.parent is not None:
-        element = element.parent
-    return element
-
-
-def path_scores(page: list[Block], lowered: float = LOWERED) -> dict[str, float]:
+def path_scores(page: list[Block], lowered: float = LOWERED) -> dict[tuple[int, bool], float]:
     """Per path the mean of its blocks' smoothed and fused ratios."""
     paths = [block.path for block in page]
-    sums: dict[str, list[float]] = {}
+    sums: dict[tuple[int, bool], list[float]] = {}
     for block, path in zip(page, paths, strict=True):
         total = sums.setdefault(path, [0, 0, 0, 0])
         total[0] += 1
@@ -289,12 +309,12 @@ def path_scores(page: list[Block], lowered: float = LOWERED) -> dict[str, float]
             weight += KERNEL[abs(i - j)]
         return total / weight
 
-    scores: dict[str, float] = {}
+    scores: dict[tuple[int, bool], float] = {}
     for i, path in enumerate(paths):
         n, chars, _, links = sums[path]
         fused = smoothed(lengths, i) * (1 + smoothed(points, i)) * (1 - links / chars)
         scores[path] = scores.get(path, 0.0) + fused / n
-    return {path: score * (lowered if path.endswith("!") else 1) for path, score in scores.items()}
+    return {path: score * (lowered if path[1] else 1) for path, score in scores.items()}
 
 
 def strong_blocks(page: list[Block], lowered: float = LOWERED) -> list[Block]:
@@ -308,15 +328,20 @@ def main_text(html: str | None) -> str:
     page = [block for block in blocks(html or "") if not block.element.unseen]
     if not page:
         return ""
-    if not any(at.name in ("article", "main") for block in page for at in _around(block.element)):
+    elements = _elements(page)
+    if not any(at.name in ("article", "main") for at in elements):
         # A name is no reason against an element that holds most of what scores highly without it.
+        settle(elements)
         high = strong_blocks(page, 1.0)
-        sizes: dict[Element, int] = {}
+        sizes: Counter[Element] = Counter()
         for block in high:
-            for at in _around(block.element):
-                sizes[at] = sizes.get(at, 0) + len(block.text)
-        for at, size in sizes.items():
-            at.holds |= 2 * size >= sum(len(block.text) for block in high)
+            sizes[block.element] += len(block.text)
+        most = sum(sizes.values())
+        for at in reversed(elements):
+            at.holds |= 2 * sizes[at] >= most
+            if at.parent is not None:
+                sizes[at.parent] += sizes[at]
+    settle(elements)
     strong = {id(block) for block in strong_blocks(page)}
     places = [i for i, block in enumerate(page) if id(block) in strong]
     # The common ancestor of all strong blocks: only between its first and last one are weak blocks added.
@@ -324,18 +349,21 @@ def main_text(html: str | None) -> str:
     for i in range(places[0], places[-1] + 1):
         inside[i] = True
     for i in places:
-        for at in _around(page[i].element):
+        at: Element | None = page[i].element
+        while at is not None and not at.strong:
             at.strong = True
+            at = at.parent
+    settle(elements)
     # An article's own ends bound it as strong blocks do.
     for i, block in enumerate(page):
-        inside[i] |= any(at.strong and at.name in ("article", "main") for at in _around(block.element))
+        inside[i] |= block.element.covered
     # A heading little before the first strong block belongs to it.
-    first = at = inside.index(True)
-    while at > 0 and first - at < LEAD and page[at - 1].fits and not page[at - 1].heading:
-        at -= 1
-    while at > 0 and page[at - 1].fits and page[at - 1].heading:
-        at -= 1
-        inside[at:first] = [True] * (first - at)
+    first = lead = inside.index(True)
+    while lead > 0 and first - lead < LEAD and page[lead - 1].fits and not page[lead - 1].element.heading:
+        lead -= 1
+    while lead > 0 and page[lead - 1].fits and page[lead - 1].element.heading:
+        lead -= 1
+        inside[lead:first] = [True] * (first - lead)
     return "\n".join(block.text for i, block in enumerate(page) if id(block) in strong or (inside[i] and block.fits))
 
 
