@@ -27,11 +27,10 @@ from meterloom.operators import (
 from meterloom.operators.cleaning import RUN_ID
 from meterloom.plans import views
 from meterloom.plans.lake import (
-    UPSTREAM,
     Lake,
     advance_all,
     build_gold,
-    compact,
+    compact_all,
     ingest,
     rebuild,
     refresh_gold,
@@ -412,8 +411,7 @@ def lake_compacted(spark: SparkSession, d: str) -> DataFrame:
     lake = Lake(spark, scratch_folder(spark, "lake"))
     for part in FIFTHS:
         _take_in(lake, d, part)
-        for layer in ("bronze", *UPSTREAM[P.HVAC.name]):
-            compact(lake, layer, P.HVAC)
+        compact_all(lake, P.HVAC)
     build_gold(lake)
     return _gold(lake)
 

@@ -44,6 +44,17 @@ UPSTREAM = {
 }
 
 
+def _side_by_side(spark: SparkSession, function: Callable, items: Sequence, most: int = ROUNDS) -> list:
+    """``function`` of each item, ``most`` at a time, for work that shares no table it writes.
+
+    One that fails does not stop the others; the first error is raised when all have ended.
+    """
+    call = inheritable_thread_target(spark)(function)
+    with ThreadPoolExecutor(max(1, min(most, len(items)))) as pool:
+        calls = [pool.submit(call, item) for item in items]
+    return [each.result() for each in calls]
+
+
 def now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
@@ -125,18 +136,15 @@ def _land_planned(lake: Lake, dataset: Dataset) -> list[str]:
     open_files = _planned(lake, dataset).join(lake.files(dataset).ids(), "path", "left_anti").persist()
     run_ids = sorted(row[RUN_ID] for row in open_files.select(RUN_ID).distinct().collect())
 
-    @inheritable_thread_target(lake.spark)
     def land(run_id: str) -> None:
         # The plan is read once; a run's files are a filter on what is open of it.
         land_files(lake, open_files.where(F.col(RUN_ID) == run_id).select("path"), dataset, run_id)
 
-    # Runs write folders of their own, so their jobs fill the cluster together. One that
-    # fails does not stop the others; its error is raised when all have ended.
-    with ThreadPoolExecutor(max(1, min(ROUNDS, len(run_ids)))) as pool:
-        landings = [pool.submit(land, run_id) for run_id in run_ids]
-    open_files.unpersist()
-    for landing_ in landings:
-        landing_.result()
+    # Runs write folders of their own, so their jobs fill the cluster together.
+    try:
+        _side_by_side(lake.spark, land, run_ids)
+    finally:
+        open_files.unpersist()
     return run_ids
 
 
@@ -380,6 +388,14 @@ def compact(lake: Lake, layer: str, dataset: Dataset, fanout: int = FANOUT) -> s
     return joined
 
 
+def compact_all(lake: Lake, dataset: Dataset, fanout: int = FANOUT) -> dict[str, str | None]:
+    """:func:`compact` for bronze and every layer after it, side by side: each writes its own
+    rows and renames, and notes of its own in the ledgers of its readers."""
+    layers = ["bronze", *UPSTREAM[dataset.name]]
+    joined = _side_by_side(lake.spark, lambda layer: compact(lake, layer, dataset, fanout), layers)
+    return dict(zip(layers, joined, strict=True))
+
+
 # ---------------------------------------------------------------------------
 # Gold
 # ---------------------------------------------------------------------------
@@ -415,19 +431,20 @@ def build_gold(lake: Lake) -> list[str]:
 
 
 def _build(lake: Lake, reports: Sequence[Report]) -> list[str]:
-    built = []
-    for report in reports:
+    def build(report: Report) -> str | None:
         # The list of runs is fixed first: one that ends meanwhile is not marked.
         named = id_list(lake.runs(report.layer, report.dataset).ids(), RUN_ID)
         rows = lake.of_runs(report.layer, report.dataset, named)
-        if rows is not None:
-            target = lake.path("gold", report.name)
-            tables.overwrite(report.build(rows), target, REPORT_PARTITIONS)
-            done = report_ledger(lake, report)
-            tables.drop(lake.spark, done.path)
-            done.commit_values(named)
-            built.append(report.name)
-    return built
+        if rows is None:
+            return None
+        target = lake.path("gold", report.name)
+        tables.overwrite(report.build(rows), target, REPORT_PARTITIONS)
+        done = report_ledger(lake, report)
+        tables.drop(lake.spark, done.path)
+        done.commit_values(named)
+        return report.name
+
+    return [name for name in _side_by_side(lake.spark, build, reports) if name is not None]
 
 
 def refresh_gold(lake: Lake) -> list[str]:
@@ -437,9 +454,9 @@ def refresh_gold(lake: Lake) -> list[str]:
     partitions, so the tables equal a full build and a replay changes nothing.
     Runs only ever add rows to a day, so none loses its report.
     """
-    refreshed = []
     by_day = list(REPORT_PARTITIONS)
-    for report in REPORTS:
+
+    def refresh(report: Report) -> str | None:
         done = report_ledger(lake, report)
         upstream = id_list(lake.runs(report.layer, report.dataset).ids(), RUN_ID)
         seen = set(id_list(done.known(), RUN_ID))
@@ -447,16 +464,17 @@ def refresh_gold(lake: Lake) -> list[str]:
         rows = lake.of_runs(report.layer, report.dataset, upstream)
         new = lake.of_runs(report.layer, report.dataset, named)
         if not named or rows is None:
-            continue
+            return None
         if new is not None:
             touched = new.select(*by_day).distinct()
             days = rows.join(touched, by_day, "left_semi")
             tables.overwrite(
                 report.build(days), lake.path("gold", report.name), by_day, touched_only=True
             )
-            refreshed.append(report.name)
         done.commit_values(named)
-    return refreshed
+        return None if new is None else report.name
+
+    return [name for name in _side_by_side(lake.spark, refresh, REPORTS) if name is not None]
 
 
 def build_dimensions(lake: Lake, year: int) -> list[str]:

@@ -336,6 +336,50 @@ def test_compaction_of_one_layer_makes_no_work_for_it(lake, tmp_path):
     assert all(runs == [] for runs in L.advance_all(lake, [P.HVAC]).values())
 
 
+def test_layers_are_compacted_side_by_side(lake, tmp_path, monkeypatch):
+    joinable(lake, tmp_path, runs=3)
+    layers = ["bronze", *L.UPSTREAM[P.HVAC.name]]
+    before = {layer: rows_of(lake.finished(layer, P.HVAC), "timestamp") for layer in layers}
+    together, most, join = [], [], L.compact
+
+    def watched(*args):
+        together.append(1)
+        most.append(len(together))
+        try:
+            return join(*args)
+        finally:
+            together.pop()
+
+    with monkeypatch.context() as patch:
+        patch.setattr(L, "compact", watched)
+        made = L.compact_all(lake, P.HVAC)
+    assert list(made) == layers and all(made.values()) and max(most) > 1
+    assert {layer: rows_of(lake.finished(layer, P.HVAC), "timestamp") for layer in layers} == before
+    assert all(len(lake.runs(layer, P.HVAC).ids().collect()) == 1 for layer in layers)
+    assert all(runs == [] for runs in L.advance_all(lake, [P.HVAC]).values()) and L.refresh_gold(lake) == []
+    assert not any(L.compact_all(lake, P.HVAC).values())
+
+
+def test_a_report_that_fails_leaves_the_others(lake, tmp_path, monkeypatch):
+    """Reports are refreshed side by side; the failed one is done by the next call."""
+    joinable(lake, tmp_path, runs=1)
+    put(tmp_path, day(), "more", at(40))
+    L.ingest(lake, landing_root(tmp_path), P.HVAC)
+    L.advance_all(lake, [P.HVAC])
+    write = tables.overwrite
+
+    def failing(df, path, *args, **more):
+        if path.endswith("hvac_daily_summary"):
+            raise Died
+        write(df, path, *args, **more)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "overwrite", failing)
+        with pytest.raises(Died):
+            L.refresh_gold(lake)
+    assert L.refresh_gold(lake) == ["hvac_daily_summary"] and L.refresh_gold(lake) == []
+
+
 def test_compaction_leaves_readers_alone(lake, tmp_path):
     joinable(lake, tmp_path)
     opened = lake.finished("silver", P.HVAC)
