@@ -13,6 +13,7 @@ driver is bounded; the files beyond it are handled in further rounds.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from typing import TYPE_CHECKING
@@ -172,13 +173,34 @@ def _read_alike(
 ) -> DataFrame:
     reader = spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "false")
     raw = reader.parquet(*paths)
-    path = F.col("_path")
-    carried = raw.select("*", plain_path(F.col("_metadata.file_path")).alias("_path"))
-    keys = path_key_columns(path, dataset.path_keys)
-    contract = {name: kind for name, kind in dataset.columns.items() if name not in keys}
-    kept = carried.drop(*keys)
-    frame = conform(kept, {**contract, "_path": "string"}).withColumns(keys)
-    return stamp(frame, path, ingested_at, run_id).drop("_path")
+    carried = raw.select("*", F.col("_metadata.file_path").alias("_file"))
+    contract = {name: kind for name, kind in dataset.columns.items() if name not in dataset.path_keys}
+    frame = conform(carried.drop(*dataset.path_keys), {**contract, "_file": "string"})
+    frame = with_path_values(frame, raw.inputFiles(), dataset.path_keys)
+    return stamp(frame, F.col("_path"), ingested_at, run_id).drop("_path")
+
+
+def with_path_values(rows: DataFrame, urls: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Replaces ``_file``, the URL of a row's file, by ``_path``, the plain path, and its ``keys``.
+
+    Paths are taken apart once per file of ``urls`` and looked up by the rows, since the patterns
+    would cost a row more than its reading. The files of a round are bounded, so the
+    lookup is broadcast. The path of a URL that is not listed is taken apart by its row.
+    """
+
+    def told(url: Column) -> dict[str, Column]:
+        path = plain_path(url)
+        return {"_path": path, **path_key_columns(path, keys)}
+
+    url = F.col("_url")
+    # Listings and rows may write the start of a local file's URL differently.
+    plain = {re.sub("^file:/+", "file:/", each) for each in urls}
+    known = sorted(plain | {re.sub("^file:/", "file:///", each) for each in plain})
+    listed = rows.sparkSession.createDataFrame([(each,) for each in known], "_url string")
+    listed = listed.select(url, F.struct(*(value.alias(name) for name, value in told(url).items())).alias("_told"))
+    joined = rows.join(F.broadcast(listed), F.col("_file") == url, "left")
+    values = {name: F.coalesce(F.col("_told")[name], value) for name, value in told(F.col("_file")).items()}
+    return joined.withColumns(values).drop("_file", "_url", "_told")
 
 
 def read_landing(

@@ -214,6 +214,26 @@ def test_escaped_values_and_source_files(lake, tmp_path):
     assert rows_of(bronze, "_source_file") == rows_of(lake.files(P.HVAC).ids(), "path")
 
 
+def test_paths_are_taken_apart_once_per_file(spark, tmp_path):
+    """Every row finds its file in the lookup; one that does not is told the same."""
+    put(tmp_path, "building_id=Main Hall%3A 5%25+/dt=2026-01-05", "a b%", at(0), at(1), at(1))
+    put(tmp_path, day("B2", "2026-01-06"), "c", at(2, building_id="B9"))
+    read = spark.read.option("recursiveFileLookup", "true").parquet(landing_root(tmp_path))
+    files = read.select("timestamp", F.col("_metadata.file_path").alias("_file"))
+    urls = {url.split(":", 1)[1].lstrip("/") for url in read.inputFiles()}
+    assert {r["_file"].split(":", 1)[1].lstrip("/") for r in files.collect()} == urls
+    keys = P.HVAC.path_keys
+    told = landing.with_path_values(files, read.inputFiles(), keys)
+    marked = landing.with_path_values(files, [f"{url}?" for url in read.inputFiles()], keys)
+    names = ["timestamp", "_path", *keys]
+    assert sorted(told.columns) == sorted(names) and rows_of(told, *names) == rows_of(marked, *names)
+    assert [r[2:] for r in rows_of(told, *names)] == [("Main Hall: 5%+", "2026-01-05")] * 3 + [("B2", "2026-01-06")]
+    assert "BroadcastHashJoin" in told._jdf.queryExecution().executedPlan().toString()
+    # All rows have a partner: the patterns are left to rows without.
+    listed = [url.replace("file:///", "file:/") for url in read.inputFiles()]
+    assert {r["_file"] for r in files.collect()} <= set(listed) | set(read.inputFiles())
+
+
 def test_rebuild_after_double_delivery_equals_a_fresh_build(spark, tmp_path):
     """Gold follows a rebuild, and a day that is gone from landing is gone from gold."""
     names = ["hvac_daily_summary", "alarm_log", "fact_equipment_daily"]
