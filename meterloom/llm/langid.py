@@ -137,6 +137,8 @@ def prototypes(labelled: DataFrame, text: str, lang: str, doc_id: str, train_doc
         named = named.where(F.pmod(F.xxhash64(doc_id), F.lit(1 << 30)) < int((1 << 30) * train_docs / rows))
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Gone with the task: a worker outlives it and serves the stages that follow.
+        own = Space()
         sums: dict[str, np.ndarray] = {}
 
         def out() -> pa.RecordBatch:
@@ -146,7 +148,7 @@ def prototypes(labelled: DataFrame, text: str, lang: str, doc_id: str, train_doc
 
         for batch in batches:
             for body, name in zip(batch.column(0), batch.column(1), strict=True):
-                vector = space().document(body.as_py())
+                vector = own.document(body.as_py())
                 if vector is not None:
                     sums.setdefault(name.as_py(), np.zeros(DIMENSIONS, np.int64))
                     sums[name.as_py()] += np.sign(vector).astype(np.int64)

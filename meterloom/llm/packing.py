@@ -32,6 +32,8 @@ from meterloom.llm.tokens import portions, word_ids
 
 #: Partially filled windows a task keeps open.
 OPEN = 2048
+#: Characters of text whose words are in memory at once.
+PIECE = 1 << 18
 #: Sequence numbers of one partition.
 SEQUENCES = 1 << 40
 
@@ -142,9 +144,18 @@ class SumOfSquares:
 
 
 def packed(
-    docs: DataFrame, path: str, size: int = 2048, end: int = 1, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    path: str,
+    size: int = 2048,
+    end: int = 1,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    remembered: int | None = None,
 ) -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``remembered`` trades a worker's memory for time: see :class:`WordIds`.
+    """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -172,8 +183,8 @@ def packed(
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for rows, texts in portions(batch, 1):
-                for i, ids in zip(rows, word_ids(path).encode(texts), strict=True):
+            for rows, texts in portions(batch, 1, PIECE):
+                for i, ids in zip(rows, word_ids(path, remembered).encode(texts), strict=True):
                     whole = np.append(ids, np.uint32(end))
                     packer.add(Piece(batch.column(0)[i].as_py(), 0, whole, len(whole)))
                 yield out()

@@ -37,8 +37,8 @@ COMMON, COMMON_CHARS = 1 << 18, 24
 PIECE = 1 << 20
 #: Distinct units a task sums before it sends them.
 SENT = 1 << 18
-#: Words of each of the two generations that a worker remembers the ids of.
-REMEMBERED = 1 << 19
+#: Words of each of the two generations that a worker remembers the ids of, some 150 bytes each.
+REMEMBERED = 1 << 18
 #: Longer words are not remembered.
 WORD_CHARS = 64
 
@@ -78,14 +78,14 @@ def pieces(path: str, words: list[str]) -> list[int]:
     return [len(e) for e in tokenizer(path).encode_batch_fast(words, add_special_tokens=False)]
 
 
-def portions(batch: pa.RecordBatch, column: int) -> Iterator[tuple[list[int], list[str]]]:
-    """Row numbers and texts of a batch, about PIECE characters at a time."""
+def portions(batch: pa.RecordBatch, column: int, piece: int = PIECE) -> Iterator[tuple[list[int], list[str]]]:
+    """Row numbers and texts of a batch, about ``piece`` characters at a time."""
     rows, texts, size = [], [], 0
     for i, body in enumerate(batch.column(column)):
         rows.append(i)
         texts.append(body.as_py() or "")
         size += len(texts[-1])
-        if size >= PIECE:
+        if size >= piece:
             yield rows, texts
             rows, texts, size = [], [], 0
     if rows:
@@ -211,39 +211,58 @@ def _latin(text: str) -> bool:
     return True
 
 
+class Remembered(dict[str, bytes]):
+    """Words and their ids, at most ``most`` met since the last change; ``old`` has those before it."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most = most
+        self.old: dict[str, bytes] = {}
+        #: Words met for the first time, with room for their ids.
+        self.new: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytes | bytearray:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            # Both generations may have dropped a word of this very portion.
+            ids = self.new.setdefault(word, bytearray())
+        self[word] = ids
+        return ids
+
+
 class WordIds:
     """Token ids of texts whose :func:`plain_words` are remembered, two generations
-    of REMEMBERED words: what was used since the last change outlives the next."""
+    of ``remembered`` words: what was used since the last change outlives the next."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
         self.path = path
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.young = Remembered(remembered or REMEMBERED)
+
+    @property
+    def old(self) -> dict[str, bytes]:
+        return self.young.old
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text (unsigned 32-bit)."""
-        split = [plain_words(text) for text in texts]
-        wanted = set().union(*split)
-        if len(self.young) + len(wanted) > REMEMBERED:
-            self.young, self.old = {}, self.young
-        young, old = self.young, self.old
-        missing = [word for word in wanted if word not in young]
-        new = []
-        for word in missing:
-            ids = old.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                young[word] = ids
-        for word, encoding in zip(new, tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-            young[word] = np.array(encoding.ids, np.uint32).tobytes()
-        found = [np.frombuffer(b"".join(map(young.__getitem__, words)), np.uint32) for words in split]
-        for word in new:
-            if len(word) > WORD_CHARS:
-                del young[word]
+        young = self.young
+        parts = [list(map(young.__getitem__, plain_words(text))) for text in texts]
+        new, young.new = young.new, {}
+        encodings = tokenizer(self.path).encode_batch_fast(list(new), add_special_tokens=False)
+        for ids, encoding in zip(new.values(), encodings, strict=True):
+            ids += np.array(encoding.ids, np.uint32).tobytes()
+        found = [np.frombuffer(b"".join(part), np.uint32) for part in parts]
+        for generation in (young, young.old):
+            for word in generation.keys() & new.keys():
+                if len(word) > WORD_CHARS:
+                    del generation[word]
+                else:
+                    generation[word] = bytes(new[word])
         return found
 
 
 @cache
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, remembered: int | None = None) -> WordIds:
+    return WordIds(path, remembered)

@@ -497,3 +497,16 @@ def test_remembered_words_are_bounded(monkeypatch):
     for text in ("one two three", "four five six one", "seven one two", "w" * 100 + " one"):
         assert ids.encode([text])[0].tolist() == whole.encode(text, add_special_tokens=False).ids
         assert "w" * 100 not in ids.young and len(ids.old) <= 5
+
+
+def test_remembered_words_are_bounded_within_a_portion():
+    whole = Tokenizer.from_file(WORDS)
+    texts = [f"{'b' * 70} {' '.join(f'w{i % 37}q{i}' for i in range(k, k + 90))} w{k} w{k}" for k in range(0, 300, 30)]
+    for most in (1, 7, 100, 1000):
+        ids = tokens.WordIds(WORDS, most)
+        for _ in range(2):
+            found = ids.encode(texts)
+            assert [f.tolist() for f in found] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+            assert len(ids.young) <= most and len(ids.old) <= most
+            assert "b" * 70 not in ids.young and "b" * 70 not in ids.old
+            assert all(type(v) is bytes for kept in (ids.young, ids.old) for v in kept.values())
