@@ -4,12 +4,21 @@ The incidence matrix has a row per distinct shingle set and a column per shingle
 product with itself counts the overlaps of all pairs. Two bounds keep almost all of it
 from being computed, without losing a link:
 
-* Columns are ordered from rare to common. A pair over the threshold shares ``k`` of the
-  first ``size - least overlap + k`` columns of both rows; the rest stays out. ``k`` is a
+* The columns are dealt into some more parts by their hash than those in which a pair over the
+  threshold can differ, so the pair is the same in one part at least. Rows meet where they have
+  the same shingles of a part, some 8 of them: texts that have nothing but
+  single shingles or a passage in common, of which there are more the larger the table, don't meet.
+  The number of parts goes with the size; a row that may be linked with rows of the next class of sizes
+  is dealt into the parts of both. Parts of few shingles don't count, and a row that has more
+  of these than there are parts to spare meets others like it in single columns.
+* Single columns are ordered from rare to common. A pair over the threshold shares ``k`` of the
+  first ``size - least overlap + k`` columns of both rows; the rest stays out. Under a threshold
+  of PARTS_FROM, where parts would be of few shingles, rows meet in these alone. There ``k`` is a
   share of the size, so rows that meet others in fewer columns leave too.
 * A pair whose sizes differ by more than the threshold allows is left out.
 
-Only columns with two rows or more count. Every such column first multiplies its rows
+Below, a column is what rows meet in, in the product itself it is a shingle. Only columns with two
+rows or more count. Every such column first multiplies its rows
 with one row of its own, the hub; rows that turn out linked are one component and need
 no product with each other. What is left are rows of different components that share
 a column. They are dealt into tiles of some hundred rows, alike ones together, and the product is
@@ -17,7 +26,7 @@ taken block by block: a task gets the whole sets of the rows that two tiles have
 multiply, accumulates the overlaps of all their pairs in a matrix, drops those below the
 bound, and puts out a spanning forest of the links. No pair is ever a row of a table: what
 crosses the network is rows by tiles, so a group of ``g`` alike rows sends g * g / tile rows. As
-overlaps are of whole sets, the result does not depend on hashing order, hubs, tiles or
+overlaps are of whole sets, the result does not depend on hashing order, parts, hubs, tiles or
 the column order.
 
 Rows of equal sets are collapsed before and expanded after, so copies cost nothing.
@@ -30,15 +39,17 @@ an empty result; other columns are ignored. Shingles are compared by 64-bit hash
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import bisect
+import functools
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.llm.arrays import flat, lists, mixed, shingles
+from meterloom.llm.arrays import BASE, flat, lists, mixed, shingles
 from meterloom.llm.common import fresh, kept, mapped, released, small_batches
 
 #: Columns that every task can tell as common: 16 bytes each, the most frequent ones.
@@ -46,9 +57,17 @@ from meterloom.llm.common import fresh, kept, mapped, released, small_batches
 COMMON = 1 << 18
 #: A column in fewer documents is never named as common.
 COMMON_FROM = 8
-#: One in so many columns of a set is a spare one, beyond those that a pair cannot avoid.
+#: Percent from which rows meet in parts of their columns.
+PARTS_FROM = 90
+#: The largest size of each class of sizes, over all that a text can have.
+TOPS = [8]
+while TOPS[-1] < 1 << 31:
+    TOPS.append(TOPS[-1] * 3 // 2)
+#: Parts of fewer shingles don't count; so many can be spared: one and one in ... of those that can differ.
+THICK, SPARED = 3, 8
+#: One in so many single columns of a set is a spare one, beyond those that a pair cannot avoid.
 SPARE = 20
-#: Rounds in which rows with too few shared columns leave.
+#: Rounds in which rows with too few shared single columns leave.
 PEELS = 2
 #: Hubs that a column tries before its remaining rows are dealt into tiles.
 HUBS = 4
@@ -107,7 +126,50 @@ def first_columns(values: np.ndarray, length: int, column: np.ndarray, seen: np.
     return rare[:length] if len(rare) >= length else values[np.argsort(rank, kind="stable")[:length]]
 
 
-def marked_rows(docs: DataFrame, n: int, least: Callable[[int], int], common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def least(size: int, percent: int) -> int:
+    """Overlap below which no partner of any size can reach the threshold."""
+    return -(-percent * size // 100)
+
+
+def front(values: np.ndarray, percent: int, column: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """The columns in which a row of sorted ``values`` meets every row that it can be linked with."""
+    size, need = len(values), least(len(values), percent)
+    if not size:
+        return values
+    if percent < PARTS_FROM:
+        return first_columns(values, size - need + spare(size), column, seen)
+    columns, whole = part_columns(values, percent)
+    if whole:
+        return columns
+    return np.concatenate((columns, first_columns(values, size - need + 1, column, seen)))
+
+
+@functools.cache
+def parts(k: int, percent: int) -> tuple[np.ndarray, int]:
+    """Where the parts of the hashes begin, but for the first, for rows up to class ``k``; how many can be spared."""
+    differ = 2 * TOPS[k] * (100 - percent) // (100 + percent)
+    spared = differ // SPARED + 1
+    count = differ + 1 + spared
+    return np.arange(1, count, dtype=np.uint64) * np.uint64((1 << 64) // count), spared
+
+
+def part_columns(values: np.ndarray, percent: int) -> tuple[np.ndarray, bool]:
+    """A column for each part of sorted ``values``, for all classes of rows that are no smaller
+    and can be linked; whether there is one among them for each of these rows."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(values), dtype=np.uint64)))
+    out, whole = [], True
+    size = len(values)
+    for k in range(bisect.bisect_left(TOPS, size), bisect.bisect_left(TOPS, 100 * size // percent) + 1):
+        edges, spared = parts(k, percent)
+        at = np.concatenate(([0], np.searchsorted(values, edges), [size]))
+        number = np.flatnonzero(np.diff(at) >= THICK)
+        whole &= len(at) - 1 - len(number) <= spared
+        part = mixed(number.astype(np.uint64) * np.uint64(BASE) + np.uint64(k))
+        out.append(mixed(sums[at[number + 1]] - sums[at[number]] + part))
+    return np.concatenate(out), whole
+
+
+def marked_rows(docs: DataFrame, n: int, percent: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, size, hash (a, b) and first columns of each document's shingle set."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -117,8 +179,7 @@ def marked_rows(docs: DataFrame, n: int, least: Callable[[int], int], common: tu
             sizes, hashes, first = [], [], []
             for body in batch.column(1):
                 values = shingles(body.as_py(), n)
-                length = len(values) - least(len(values)) + spare(len(values)) if len(values) else 0
-                first.append(first_columns(values, length, column, seen))
+                first.append(front(values, percent, column, seen))
                 sizes.append(len(values))
                 hashes.append(set_hash(values))
             yield pa.RecordBatch.from_arrays(
@@ -141,6 +202,13 @@ def spare(size: int) -> int:
     return max(1, size // SPARE)
 
 
+def met(cells: DataFrame) -> DataFrame:
+    """The cells of columns with two rows or more. They are dealt once: a join with the counts would deal all twice."""
+    column = Window.partitionBy("shingle")
+    ends = cells.select("*", F.min("node").over(column).alias("low"), F.max("node").over(column).alias("high"))
+    return ends.where("low < high").drop("low", "high")
+
+
 def full_sets(docs: DataFrame, n: int) -> DataFrame:
     def whole(batches: Rows) -> Rows:
         for batch in batches:
@@ -307,16 +375,11 @@ def near_components(
 ) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id. ``percent`` is the least
     100 * intersection / union of a link."""
-
-    def least(size: int) -> int:
-        """Overlap below which no partner of any size can reach the threshold."""
-        return -(-percent * size // 100)
-
     if percent * SPARE < 100:
         raise ValueError(f"percent must be at least {-(-100 // SPARE)}, not {percent}")
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).alias("doc_id"), _body(text).alias("body"))
-    marked = kept(marked_rows(docs, n, least, common_columns(docs, n)), "overlap-marked")
+    marked = kept(marked_rows(docs, n, percent, common_columns(docs, n)), "overlap-marked")
     signed = marked.select("doc_id", "size", "a", "b")
     rows = kept(
         signed.where((F.col("size") > 0) & F.col("doc_id").isNotNull())
@@ -328,22 +391,19 @@ def near_components(
     cells = marked.join(chosen, ["doc_id", "size", "a", "b"], "left_semi").select(
         F.explode("first").alias("shingle"), F.col("doc_id").alias("node"), "size"
     )
-    # The smallest linked set of a row has ``least`` of its size.
-    smallest = F.ceil(F.col("size") * percent / 100)
-    shared = F.greatest(F.lit(1), F.floor(smallest / SPARE))
     peeled: list[DataFrame] = []
-    for _ in range(PEELS):
-        blocks = (
-            cells.groupBy("shingle")
-            .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-            .where("low < high")
-            .select("shingle")
-        )
-        cells = kept(cells.join(blocks, "shingle", "left_semi"), "overlap-cells")
-        peeled.append(cells)
-        full = cells.groupBy("node", "size").agg(F.count("*").alias("met")).where(F.col("met") >= shared)
-        cells = cells.join(full.select("node", "size"), ["node", "size"], "left_semi").select("shingle", "node", "size")
-    cells = kept(cells, "overlap-cells")
+    if percent >= PARTS_FROM:
+        cells = kept(met(cells), "overlap-cells")
+    else:
+        # The smallest linked set of a row has ``least`` of its size.
+        smallest = F.ceil(F.col("size") * percent / 100)
+        shared = F.greatest(F.lit(1), F.floor(smallest / SPARE))
+        for _ in range(PEELS):
+            cells = kept(met(cells), "overlap-cells")
+            peeled.append(cells)
+            full = cells.groupBy("node", "size").agg(F.count("*").alias("met")).where(F.col("met") >= shared)
+            cells = cells.join(full.select("node", "size"), ["node", "size"], "left_semi").select("shingle", "node", "size")
+        cells = kept(cells, "overlap-cells")
     signed = kept(signed, "overlap-signed")
     released(marked, *peeled)
     wanted = cells.select("node").distinct()

@@ -98,6 +98,43 @@ def test_one_of_each_by_rows(spark):
     assert sorted(found, key=str) == sorted([(1, a), (5, b), (None, "no other"), (3, ""), (3, None)], key=str)
 
 
+@pytest.mark.parametrize("percent", [80, 90, 91, 97])
+def test_linked_rows_meet(percent):
+    """Every pair over the threshold, as unlike as it may be, has a column of its front in common."""
+    rng, none = np.random.default_rng(percent), np.zeros(0, np.uint64)
+    met = 0
+    for size in [*range(10, 60), *range(60, 1000, 13), *range(1000, 6000, 700)]:
+        x = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        for lost in {0, rng.integers(0, size), size} if size < 60 else {0, rng.integers(0, size)}:
+            lost = min(int(lost), size - -(-percent * size // 100))
+            common = np.delete(x, rng.choice(size, lost, replace=False))
+            more = 100 * len(common) // percent - size
+            y = np.unique(np.concatenate([common, rng.integers(0, 1 << 64, max(0, more), dtype=np.uint64)]))
+            assert 100 * len(common) >= percent * len(np.union1d(x, y))
+            if len(np.union1d(x, y)) > len(common):
+                met += 1
+                assert len(np.intersect1d(overlap.front(x, percent, none, none), overlap.front(y, percent, none, none)))
+    assert met > 100
+
+
+def test_single_shingles_in_common_move_no_sets(spark, monkeypatch):
+    """Texts of few words have many shingles in common; only copies are sent to be multiplied."""
+    sent = []
+    full_sets = overlap.full_sets
+    monkeypatch.setattr(overlap, "full_sets", lambda docs, n: sent.append(docs.count()) or full_sets(docs, n))
+    rng = random.Random(3)
+    texts = [[f"w{rng.randrange(40)}" for _ in range(150)] for _ in range(400)]
+    for i in range(0, 20, 2):
+        texts[i + 1] = [*texts[i][:70], "changed", *texts[i][71:]]
+    texts = [" ".join(words) for words in texts]
+    data = [(i, t, None, None, i, None, "k", "l", "m", "n") for i, t in enumerate(texts)]
+    found = overlap.near_components(corpus.frame(spark, data), 3, 90).collect()
+    want = brute.near_components(list(enumerate(texts)), 3, 90)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+    assert len({c for _, c in want.values()}) == 390
+    assert 20 <= sent[0] < 100
+
+
 @pytest.mark.parametrize("rows,tile", [(40, 512), (40, 5), (300, 64)])
 def test_tiles_of_a_dense_group(spark, monkeypatch, rows, tile):
     """A group of alike texts, linked or not, in several tiles, against brute force."""
